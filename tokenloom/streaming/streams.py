@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter
 
 from tokenloom.config import CleaningConfig
 from tokenloom.operators.cleaning import clean_lines
 from tokenloom.operators.encoding import encode_documents
-from tokenloom.operators.sequencing import running_start
+from tokenloom.operators.packing import append_eos, pack_ids
 from tokenloom.operators.vocabulary import Tokenizer
 from tokenloom.sources.lines import ORDER
 
+BLOCK_SCHEMA = "shard int, block long, input_ids array<int>, n int"
+
 
-def stream_documents(spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files of documents as they arrive in a folder."""
+def stream_documents(
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Parquet files of documents as they arrive."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -39,55 +41,64 @@ def stream_clean_encode(
     return encode_documents(cleaned, tokenizer, "clean", ascii_only=cleaning.remove_special_chars)
 
 
-def stream_pack(encoded: DataFrame, max_length: int) -> DataFrame:
-    """Pack arriving ``shard, doc_id, line_no, input_ids`` into whole blocks: ``shard, block, input_ids, n``.
+def stream_pack(encoded: DataFrame, max_length: int, path: str, eos: int | None = None) -> DataStreamWriter:
+    """Pack arriving ``shard, doc_id, line_no, input_ids`` into whole blocks under ``path/blocks``.
 
-    The state of a shard is its unfinished block (fewer than ``max_length`` ids) and the next block number.
-    Lines of one micro-batch are taken in corpus order, micro-batches in order of arrival.
-    The unfinished blocks come out of :func:`flush_remainder` when the input ends.
+    Each micro-batch is packed by the batch operator, so neither a large batch nor a hot shard passes
+    through one task. What is carried from batch to batch is each shard's unfinished block (fewer than
+    ``max_length`` ids) and its next block number, kept as a table per batch: a batch that is run
+    again after a failure reads the same state and overwrites its own output. Lines of a batch are taken
+    in corpus order, batches in order of arrival.
     """
 
-    def pack(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(list(ORDER))
-        held, block = state.get if state.exists else ([], 0)
-        buffer = list(held)
-        blocks = []
-        for ids in rows["input_ids"]:
-            buffer.extend(int(i) for i in ids)
-            whole = len(buffer) // max_length * max_length
-            blocks += [buffer[i : i + max_length] for i in range(0, whole, max_length)]
-            buffer = buffer[whole:]
-        state.update((buffer, block + len(blocks)))
-        yield pd.DataFrame(
-            {"shard": key[0], "block": range(block, block + len(blocks)), "input_ids": blocks, "n": max_length}
+    def pack_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _state(spark, path, batch_id - 1)
+        held = before.select("shard", F.lit(0).alias("late"), *_no_line(), F.col("input_ids"))
+        arrived = batch.select(
+            "shard", F.lit(1).alias("late"), *ORDER, append_eos(F.col("input_ids"), eos).alias("input_ids")
         )
+        packed = pack_ids(held.unionByName(arrived), max_length, order=("late", *ORDER))
+        # One row per shard on the state's side.
+        shifted = (
+            packed.join(F.broadcast(before.select("shard", F.col("block").alias("_done"))), "shard", "left")
+            .withColumn("block", F.col("block") + F.coalesce("_done", F.lit(0)))
+            .select("shard", "block", "input_ids", "n")
+        )
+        whole = shifted.filter(F.col("n") == max_length)
+        whole.write.mode("overwrite").parquet(f"{path}/blocks/batch={batch_id}")
+        rest = shifted.filter(F.col("n") < max_length)
+        ends = shifted.groupBy("shard").agg(F.max(F.col("block") + (F.col("n") == max_length).cast("int")).alias("block"))
+        seen = ends.unionByName(before.select("shard", "block")).groupBy("shard").agg(F.max("block").alias("block"))
+        empty = F.array().cast("array<int>")
+        after = seen.join(rest.select("shard", "input_ids"), "shard", "left").select(
+            "shard", "block", F.coalesce("input_ids", empty).alias("input_ids"), F.size(F.coalesce("input_ids", empty)).alias("n")
+        )
+        after.coalesce(1).write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
 
-    return encoded.groupBy("shard").applyInPandasWithState(
-        pack,
-        "shard int, block long, input_ids array<int>, n int",
-        "held array<int>, block long",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    return encoded.writeStream.foreachBatch(pack_batch).option("checkpointLocation", f"{path}/checkpoint")
 
 
-def flush_remainder(encoded: DataFrame, blocks: DataFrame, max_length: int) -> DataFrame:
-    """The last, short block of each shard once the stream has ended: ``shard, block, input_ids, n``.
+def _no_line():
+    return [F.lit(0).cast(t).alias(c) for c, t in zip(ORDER, ("long", "int"))]
 
-    ``encoded`` is all streamed lines, ``blocks`` all whole blocks written. The short block is the
-    tail of the shard behind them: only lines that reach past it are grouped, fewer than ``max_length`` ids.
-    """
-    rows = encoded.select("shard", *ORDER, "input_ids").withColumn("_n", F.size("input_ids").cast("bigint"))
-    placed = running_start(rows, ["shard"], ORDER, "_n", name="tail")
-    done = blocks.groupBy("shard").agg(F.count("*").alias("block"))
-    ends = placed.join(F.broadcast(done), "shard", "left").withColumn("block", F.coalesce("block", F.lit(0)))
-    border = F.col("block") * max_length
-    tail = ends.filter(F.col("start") + F.col("_n") > border).withColumn(
-        "part", F.slice("input_ids", F.greatest(F.lit(0), border - F.col("start")).cast("int") + 1, F.size("input_ids"))
-    )
-    return (
-        tail.groupBy("shard", "block")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "part"))).alias("parts"))
-        .select("shard", "block", F.flatten("parts.part").alias("input_ids"))
-        .withColumn("n", F.size("input_ids"))
-    )
+
+def _state(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    if batch_id < 0:
+        return spark.createDataFrame([], BLOCK_SCHEMA)
+    return spark.read.schema(BLOCK_SCHEMA).parquet(f"{path}/state/batch={batch_id}")
+
+
+def packed_blocks(spark: SparkSession, path: str) -> DataFrame:
+    """The whole blocks a packing stream has written so far."""
+    return spark.read.schema(f"{BLOCK_SCHEMA}, batch long").parquet(f"{path}/blocks").drop("batch")
+
+
+def flush_remainder(spark: SparkSession, path: str) -> DataFrame:
+    """The short last block of each shard, once the input has ended."""
+    try:
+        states = spark.read.schema(f"{BLOCK_SCHEMA}, batch long").parquet(f"{path}/state")
+    except AnalysisException:
+        return spark.createDataFrame([], BLOCK_SCHEMA)
+    last = states.agg(F.max("batch")).first()[0]
+    return states.filter((F.col("batch") == last) & (F.col("n") > 0)).drop("batch")
