@@ -139,6 +139,6 @@ def test_loader_schema_and_partial_batches(as_lines):
 def test_unpacked_loader(as_lines):
     lines = as_lines(["abc", " ", "abcdefghijkl", "d"])
     cfg = LoaderConfig(batch_size=2, max_length=5, pack_sequences=False, shuffle_buffer_size=0)
-    samples = bt.samples_of(lines, codes(100), cfg, train=True)
+    samples = bt.train_samples(bt.split_samples(lines, codes(100), cfg), cfg)
     rows = bt.loader_batches(samples, cfg, 0, ["shard"]).orderBy("batch_id", "row_in_batch").collect()
     assert [r.input_ids for r in rows] == [[97, 98, 99, 0, 0], [97, 98, 99, 0, 1], [0]]

@@ -55,31 +55,41 @@ def collate(batches: DataFrame, pad: int, groups: Sequence[str] = ("shard",)) ->
     )
 
 
-def samples_of(
+def split_samples(
     lines: DataFrame,
     encode: Tokenizer | EncodeFn,
     cfg: LoaderConfig,
-    train: bool,
     eos: int | None = None,
     text_col: str = "text",
+    by: Sequence[str] = (),
     ascii_only: bool = False,
     number_col: str = "line_no",
 ) -> DataFrame:
-    """The samples of one split in reading order, with their ``position`` in the shard.
+    """All samples in reading order: ``by, shard, block, input_ids, n``; ``block`` counts samples of a shard.
 
-    Training drops the short remainder of each shard (if configured) and shuffles; validation does neither.
+    Lines are sorted before they are encoded, so that the sort's sampling pass stays cheap.
     """
     if cfg.pack_sequences:
-        drop = train and cfg.drop_last_block
-        samples = pack_blocks(
-            lines, encode, cfg.max_length, cfg.shards, drop, eos, text_col, ascii_only=ascii_only, number_col=number_col
+        return pack_blocks(
+            lines, encode, cfg.max_length, cfg.shards, False, eos, text_col, by, ascii_only, number_col
         )
-    else:
-        texts = nonblank_lines(shard_lines(lines, cfg.shards, number_col), text_col)
-        kept = unpacked_samples(texts, encode, cfg.max_length, text_col, ascii_only)
-        kept = kept.select("shard", *ORDER, "input_ids")
-        samples = number_rows(kept, ["shard"], ORDER, "block").drop(*ORDER).withColumn("n", F.size("input_ids"))
-    return shuffle_blocks(samples, cfg.shuffle_buffer_size if train else 1, cfg.seed)
+    groups = [*by, "shard"]
+    texts = shard_lines(lines, cfg.shards, number_col).select(*groups, *ORDER, F.col(text_col).alias("text"))
+    texts = nonblank_lines(texts.orderBy(*groups, *ORDER))
+    samples = number_rows(unpacked_samples(texts, encode, cfg.max_length, "text", ascii_only), groups, ORDER, "block", True)
+    return samples.select(*groups, "block", "input_ids", F.size("input_ids").alias("n"))
+
+
+def train_samples(samples: DataFrame, cfg: LoaderConfig, groups: Sequence[str] = ("shard",)) -> DataFrame:
+    """Training drops the short remainder of each shard, if configured, and shuffles."""
+    if cfg.pack_sequences and cfg.drop_last_block:
+        samples = samples.filter(F.col("n") == cfg.max_length)
+    return shuffle_blocks(samples, cfg.shuffle_buffer_size, cfg.seed, groups)
+
+
+def val_samples(samples: DataFrame) -> DataFrame:
+    """Validation keeps every sample, in reading order."""
+    return samples.withColumn("position", F.col("block"))
 
 
 def train_val_blocks(
@@ -92,10 +102,11 @@ def train_val_blocks(
     ascii_only: bool = False,
     number_col: str = "line_no",
 ) -> DataFrame:
-    """Samples of both splits: ``split, shard, block, input_ids, n, position``."""
-    train = samples_of(train_lines, encode, cfg, True, eos, text_col, ascii_only, number_col)
-    val = samples_of(val_lines, encode, cfg, False, eos, text_col, ascii_only, number_col)
-    return train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
+    """Samples of both splits: ``split, shard, block, input_ids, n, position``. One pass packs the two."""
+    both = train_lines.withColumn("split", F.lit("train")).unionByName(val_lines.withColumn("split", F.lit("val")))
+    samples = split_samples(both, encode, cfg, eos, text_col, ["split"], ascii_only, number_col)
+    train, val = (samples.filter(F.col("split") == s) for s in ("train", "val"))
+    return train_samples(train, cfg).unionByName(val_samples(val))
 
 
 def loader_batches(samples: DataFrame, cfg: LoaderConfig, pad: int, groups: Sequence[str] = ("split", "shard")) -> DataFrame:

@@ -6,6 +6,7 @@ native ``replace``: left to right and non-overlapping, as merging must be.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -26,7 +27,7 @@ _JOINT = _CLOSE + _OPEN
 _ESCAPES = {"\x00": "\x00a", _OPEN: "\x00b", _CLOSE: "\x00c"}
 
 _PAIRS_PER_ROUND = 64
-_PENDING_LIMIT = 48
+_PENDING_LIMIT = 32
 
 
 def _wrap(word: Column) -> Column:
@@ -58,10 +59,11 @@ def symbol_list(symbols: Column) -> Column:
 
 def _pairs(words: DataFrame, *keep: str) -> DataFrame:
     """One row per adjacent symbol pair: the kept columns, ``i, left, right`` (wrapped spelling)."""
-    parts = with_computed(words.filter(F.contains("symbols", F.lit(_JOINT))), "parts", symbol_list(F.col("symbols")))
-    n = F.size("parts") - 1
-    zipped = F.arrays_zip(F.slice("parts", F.lit(1), n).alias("left"), F.slice("parts", F.lit(2), n).alias("right"))
-    return parts.select(*keep, F.posexplode(zipped).alias("i", "pair")).select(*keep, "i", "pair.left", "pair.right")
+    parts = with_computed(words, "parts", symbol_list(F.col("symbols"))).filter(F.size("parts") > 1)
+    placed = parts.select(*keep, "parts", F.explode(F.sequence(F.lit(0), F.size("parts") - 2)).alias("i"))
+    return placed.select(
+        *keep, "i", F.get("parts", F.col("i")).alias("left"), F.get("parts", F.col("i") + 1).alias("right")
+    )
 
 
 def pair_counts(words: DataFrame) -> DataFrame:
@@ -90,15 +92,26 @@ def best_pair(pairs: DataFrame) -> DataFrame:
     return pairs.orderBy(F.desc("freq"), "first", "i").limit(1)
 
 
-def merge_symbols(symbols: Column, left: str, right: str) -> Column:
-    left, right = _escape(left), _escape(right)
-    return F.replace(symbols, F.lit(_OPEN + left + _JOINT + right + _CLOSE), F.lit(_OPEN + left + right + _CLOSE))
+def merge_symbols(symbols: Column, merges: Iterable[tuple[str, str]]) -> Column:
+    """Replace each pair, in the given order.
+
+    The pairs are one array literal: the generated code is the same for any merges, so that a training
+    round does not pay for compiling its own.
+    """
+    rules = [
+        {
+            "apart": _OPEN + _escape(left) + _JOINT + _escape(right) + _CLOSE,
+            "joined": _OPEN + _escape(left) + _escape(right) + _CLOSE,
+        }
+        for left, right in merges
+    ]
+    listed = F.from_json(F.lit(json.dumps(rules)), "array<struct<apart:string,joined:string>>")
+    return F.aggregate(listed, symbols, lambda s, r: F.replace(s, r.apart, r.joined))
 
 
 def apply_merge(words: DataFrame, merges: Iterable[tuple[str, str]]) -> DataFrame:
     """Replace each pair, in the given order, in every word."""
-    merged = reduce(lambda col, pair: merge_symbols(col, *pair), merges, F.col("symbols"))
-    return words.withColumn("symbols", merged)
+    return words.withColumn("symbols", merge_symbols(F.col("symbols"), merges))
 
 
 @dataclass(frozen=True)
@@ -123,24 +136,26 @@ def _top_pairs(words: DataFrame, n: int) -> list[_Ranked]:
 def independent_prefix(ranked: Sequence[_Ranked], known: Iterable[str]) -> list[_Ranked]:
     """The longest head of the ranking whose merges one-at-a-time training would choose in this order.
 
-    Let p1..pm head the ranking with no symbol in common. Merging p1 = (a, b) leaves the counts of the
-    others alone, can only lower a pair that shares a or b, and creates pairs such as (x, ab): each of
-    their occurrences was one of (x, a) or (b, y), pairs outside the head and so ranked after pm, and
-    it begins no earlier than any position pm could still lose a tie to. So p2 is chosen next, and so on.
-    The argument needs a new symbol, and no overlap within the pair: a merge such as (a, a), or one
-    whose text is a token already, may still be taken but must be the last of the round.
+    Let p1..pm head the ranking, with no symbol that is the left half of one and the right half of
+    another. Merging p1 = (a, b) then uses up no occurrence of the others, can only lower other pairs, and
+    creates pairs such as (x, ab) and (ab, y): each occurrence of one was an occurrence of (x, a) or (b, y),
+    pairs outside the head and so ranked after pm, and it begins too late to win a tie against pm.
+    So p2 is chosen next, and so on. The argument needs a new symbol, and no overlap within a pair: a
+    merge such as (a, a), or one whose text is a token already, may be taken but ends the round.
     """
     known = set(known)
-    used: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
     head: list[_Ranked] = []
     for pair in ranked:
-        if pair.left in used or pair.right in used:
+        if pair.left in rights or pair.right in lefts:
             break
         head.append(pair)
         merged = pair.left + pair.right
         if pair.left == pair.right or merged in known:
             break
-        used |= {pair.left, pair.right}
+        lefts.add(pair.left)
+        rights.add(pair.right)
         known.add(merged)
     return head
 
@@ -158,8 +173,9 @@ def train_from_words(
     words = stage(words, "words")
     # A sorted position replaces the wide order key: one long per word, leaving room for the place in it.
     stride = 2 * cfg.max_token_length + 1
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     table = stage(
-        word_symbols(words.orderBy("first"))
+        word_symbols(words.repartitionByRange(tasks, "first").sortWithinPartitions("first"))
         .withColumn("place", F.monotonically_increasing_id() * stride)
         .select("symbols", "freq", "place"),
         "symbols",
@@ -176,7 +192,8 @@ def train_from_words(
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
     while size < cfg.vocab_size and (max_merges is None or len(merges) < max_merges):
         if len(pending) >= _PENDING_LIMIT:
-            done = apply_merge(table, pending).filter(F.contains("symbols", F.lit(_JOINT)))
+            merged_words = with_computed(table, "symbols", merge_symbols(F.col("symbols"), pending))
+            done = merged_words.filter(F.contains("symbols", F.lit(_JOINT)))
             fresh = stage(done, "symbols", path=slots[generation % 2]).persist(StorageLevel.MEMORY_AND_DISK)
             table.unpersist()
             table, pending, generation = fresh, [], generation + 1

@@ -79,7 +79,9 @@ def running_start(
     )
 
 
-def number_rows(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str = "position") -> DataFrame:
+def number_rows(
+    df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str = "position", in_order: bool = False
+) -> DataFrame:
     """Add the dense row number, from 0, within the group."""
-    weighted = df.withColumn("_one", F.lit(1))
-    return running_start(weighted, groups, order, "_one", name="numbered").withColumnRenamed("start", out).drop("_one")
+    placed = running_start(df.withColumn("_one", F.lit(1)), groups, order, "_one", in_order, "numbered")
+    return placed.withColumnRenamed("start", out).drop("_one")

@@ -24,6 +24,7 @@ from tokenloom.operators.vocabulary import Tokenizer, id_to_token, special_token
 from tokenloom.plans.corpus import prepare_corpus
 from tokenloom.sources import lines as ln
 from tokenloom.sources.artifact import load_tokenizer, reuse_tokenizer, save_tokenizer
+from tokenloom.sources.tables import read_documents
 from tokenloom.staging import new_path
 from tokenloom.streaming import streams as sm
 
@@ -44,8 +45,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_documents(spark, f"{sf_dir}/{name}.parquet", *KEYS[name])
 
 
 def shown(ids: str | Column, sep: str = " ") -> Column:
@@ -425,8 +429,8 @@ def pack_keep_last(spark, sf_dir):
 
 
 def _train_val(spark, sf_dir) -> DataFrame:
-    rows = clean(spark, sf_dir).withColumn("split", source_split())
-    train, val = rows.filter("split = 'train'"), rows.filter("split = 'validation'")
+    rows = clean(spark, sf_dir)
+    train, val = (rows.filter(source_split() == s) for s in ("train", "validation"))
     return bt.train_val_blocks(train, val, fitted(spark, sf_dir), LOADER, text_col="clean", ascii_only=True)
 
 
@@ -449,8 +453,8 @@ def _line_batches(spark, sf_dir) -> DataFrame:
     """Batches of single lines: unlike packed blocks their samples differ in length."""
     numbered = clean(spark, sf_dir).withColumnRenamed("clean", "text")
     cfg = LoaderConfig(batch_size=8, max_length=LINE, num_workers=SHARDS, pack_sequences=False, shuffle_buffer_size=0)
-    samples = bt.samples_of(numbered, fitted(spark, sf_dir), cfg, train=False, ascii_only=True)
-    return bt.loader_batches(samples, cfg, fitted(spark, sf_dir).pad_id, ["shard"])
+    samples = bt.split_samples(numbered, fitted(spark, sf_dir), cfg, ascii_only=True)
+    return bt.loader_batches(bt.val_samples(samples), cfg, fitted(spark, sf_dir).pad_id, ["shard"])
 
 
 @query
