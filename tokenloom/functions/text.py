@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+import re
+import sys
 import unicodedata
 
 import pyarrow as pa
@@ -14,7 +16,22 @@ from tokenloom.config import CleaningConfig
 
 # The code points Python's `re` and `str.strip` treat as white space, and the characters kept.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-KEPT_CHARS = r"A-Za-z0-9.,!?;:\-"
+KEPT_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789.,!?;:-"
+
+
+def _all_but(pattern: str) -> str:
+    """The complement of a character class, as plain ranges.
+
+    Java matches listed ranges several times faster than a negated union of them.
+    """
+    known = re.compile(f"[{pattern}]")
+    inside = [c for c in range(0x10000) if known.match(chr(c))]
+    edges = zip([-1, *inside], [*inside, sys.maxunicode + 1])
+    return "".join(rf"\x{{{a + 1:x}}}-\x{{{b - 1:x}}}" for a, b in edges if b - a > 1)
+
+
+_UNWANTED = _all_but(re.escape(KEPT_CHARS))
+_SPECIAL = _all_but(re.escape(KEPT_CHARS) + WHITESPACE)
 
 
 @F.arrow_udf(T.StringType())
@@ -55,7 +72,7 @@ def strip_tags(text: Column) -> Column:
 
 
 def mask_special_chars(text: Column) -> Column:
-    return F.regexp_replace(text, f"[^{KEPT_CHARS}{WHITESPACE}]", " ")
+    return F.regexp_replace(text, f"[{_SPECIAL}]", " ")
 
 
 def collapse_ws(text: Column) -> Column:
@@ -82,7 +99,7 @@ def clean_expr(text: Column, cfg: CleaningConfig) -> Column:
     if cfg.remove_html:
         out = strip_tags(out)
     if cfg.remove_special_chars:
-        out = F.trim(F.regexp_replace(out, f"[^{KEPT_CHARS}]+", " "))
+        out = F.trim(F.regexp_replace(out, f"[{_UNWANTED}]+", " "))
     else:
         out = collapse_ws(out)
     return lowercase_text(out) if cfg.lowercase else out

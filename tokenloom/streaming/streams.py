@@ -19,13 +19,22 @@ BLOCK_SCHEMA = "shard int, block long, input_ids array<int>, n int"
 
 
 def stream_documents(
-    spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    files_per_trigger: int | None = None,
+    spread_by: str | None = None,
 ) -> DataFrame:
-    """Parquet files of documents as they arrive."""
+    """Parquet files of documents as they arrive.
+
+    ``spread_by`` names the row key to repartition on, for files of so few row groups that reading them
+    would keep few cores busy.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    docs = reader.parquet(path)
+    return docs.repartition(spark.sparkContext.defaultParallelism, spread_by) if spread_by else docs
 
 
 def stream_text(spark: SparkSession, path: str) -> DataFrame:

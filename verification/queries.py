@@ -658,8 +658,8 @@ def batch_predict(spark, sf_dir):
 
 
 def _streamed_lines(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return ln.doc_lines(sm.stream_documents(spark, f"{sf_dir}/documents.parquet*", docs.schema))
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    return ln.doc_lines(sm.stream_documents(spark, f"{sf_dir}/documents.parquet*", schema, spread_by="doc_id"))
 
 
 @query
