@@ -142,3 +142,22 @@ def test_unpacked_loader(as_lines):
     samples = bt.train_samples(bt.split_samples(lines, codes(100), cfg), cfg)
     rows = bt.loader_batches(samples, cfg, 0, ["shard"]).orderBy("batch_id", "row_in_batch").collect()
     assert [r.input_ids for r in rows] == [[97, 98, 99, 0, 0], [97, 98, 99, 0, 1], [0]]
+
+
+def test_known_widths_equal_the_longest_of_each_batch(as_lines):
+    for n in (1, 8, 13):
+        lines = as_lines(["x" * n, "abc"])
+        for drop, buffer in ((True, 4), (True, 1), (False, 1), (False, 4)):
+            cfg = LoaderConfig(batch_size=3, max_length=4, drop_last_block=drop, shuffle_buffer_size=buffer)
+            samples = bt.train_val_blocks(lines, lines, codes(90, 1), cfg, eos=99)
+            fast = bt.loader_batches(samples, cfg, 0)
+            slow = bt.collate(bt.batch_blocks(samples, 3), 0, ["split", "shard"]).select(*fast.columns)
+            assert fast.exceptAll(slow).count() == slow.exceptAll(fast).count() == 0
+
+
+def test_packed_loading_needs_no_shuffle_after_the_blocks(as_lines):
+    cfg = LoaderConfig(batch_size=3, max_length=4, shuffle_buffer_size=1)
+    blocks = bt.split_samples(as_lines(["abcdefgh"]), codes(90, 1), cfg, eos=99)
+    plan = bt.loader_batches(bt.val_samples(blocks), cfg, 0, ["shard"])._jdf.queryExecution().executedPlan().toString()
+    # The one exchange joins the pieces of blocks cut at task borders.
+    assert plan.count("Exchange") == 1 and "Window" not in plan

@@ -62,7 +62,10 @@ def unicode_normalize(text: Column, form: str | None = "NFKC") -> Column:
 
 
 def strip_text(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\A[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    """Trim Unicode white space. The regex only runs on rows that begin or end with some."""
+    edges = F.concat(F.substring(text, 1, 1), F.substring(text, -1, 1))
+    trimmed = F.regexp_replace(text, rf"\A[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.when(F.rlike(edges, F.lit(f"[{WHITESPACE}]")), trimmed).otherwise(text)
 
 
 def strip_tags(text: Column) -> Column:

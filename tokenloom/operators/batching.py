@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.config import LoaderConfig
@@ -43,10 +43,16 @@ def batch_blocks(samples: DataFrame, batch_size: int, position: str = "position"
     )
 
 
-def collate(batches: DataFrame, pad: int, groups: Sequence[str] = ("shard",)) -> DataFrame:
-    """Pad to the longest sample of the batch; mask by value; label -100 where masked."""
-    batch = Window.partitionBy(*groups, "batch_id")
-    width = F.max(F.size("input_ids")).over(batch)
+def collate(
+    batches: DataFrame, pad: int, groups: Sequence[str] = ("shard",), width: Column | None = None
+) -> DataFrame:
+    """Pad to the longest sample of the batch; mask by value; label -100 where masked.
+
+    ``width`` gives the longest length where it is known beforehand, which saves the shuffle that brings
+    a batch together.
+    """
+    if width is None:
+        width = F.max(F.size("input_ids")).over(Window.partitionBy(*groups, "batch_id"))
     padded = batches.withColumn("_width", width).withColumn("input_ids", tk.pad_ids(F.col("input_ids"), F.col("_width"), pad))
     return padded.drop("_width").select(
         "*",
@@ -64,18 +70,19 @@ def split_samples(
     by: Sequence[str] = (),
     ascii_only: bool = False,
     number_col: str = "line_no",
+    prepare: Callable[[DataFrame], DataFrame] = nonblank_lines,
 ) -> DataFrame:
     """All samples in reading order: ``by, shard, block, input_ids, n``; ``block`` counts samples of a shard.
 
-    Lines are sorted before they are encoded, so that the sort's sampling pass stays cheap.
+    Lines are sorted before they are prepared and encoded, so that the sort's sampling pass stays cheap.
     """
     if cfg.pack_sequences:
         return pack_blocks(
-            lines, encode, cfg.max_length, cfg.shards, False, eos, text_col, by, ascii_only, number_col
+            lines, encode, cfg.max_length, cfg.shards, False, eos, text_col, by, ascii_only, number_col, prepare
         )
     groups = [*by, "shard"]
     texts = shard_lines(lines, cfg.shards, number_col).select(*groups, *ORDER, F.col(text_col).alias("text"))
-    texts = nonblank_lines(texts.orderBy(*groups, *ORDER))
+    texts = prepare(texts.orderBy(*groups, *ORDER))
     samples = number_rows(unpacked_samples(texts, encode, cfg.max_length, "text", ascii_only), groups, ORDER, "block", True)
     return samples.select(*groups, "block", "input_ids", F.size("input_ids").alias("n"))
 
@@ -101,17 +108,32 @@ def train_val_blocks(
     text_col: str = "text",
     ascii_only: bool = False,
     number_col: str = "line_no",
+    prepare: Callable[[DataFrame], DataFrame] = nonblank_lines,
 ) -> DataFrame:
     """Samples of both splits: ``split, shard, block, input_ids, n, position``. One pass packs the two."""
     both = train_lines.withColumn("split", F.lit("train")).unionByName(val_lines.withColumn("split", F.lit("val")))
-    samples = split_samples(both, encode, cfg, eos, text_col, ["split"], ascii_only, number_col)
+    samples = split_samples(both, encode, cfg, eos, text_col, ["split"], ascii_only, number_col, prepare)
     train, val = (samples.filter(F.col("split") == s) for s in ("train", "val"))
     return train_samples(train, cfg).unionByName(val_samples(val))
 
 
+def _packed_width(cfg: LoaderConfig) -> Column:
+    """Batch width of packed samples of which only the last of a shard may be short.
+
+    A short sample shares its batch with full ones, unless it is the first of its batch and so alone in it.
+    """
+    alone = (F.col("n") < cfg.max_length) & (F.col("row_in_batch") == 0)
+    return F.when(alone, F.col("n")).otherwise(F.lit(cfg.max_length))
+
+
 def loader_batches(samples: DataFrame, cfg: LoaderConfig, pad: int, groups: Sequence[str] = ("split", "shard")) -> DataFrame:
-    """Model-ready batches: ``groups, batch_id, row_in_batch, input_ids, attention_mask, labels``."""
+    """Model-ready batches: ``groups, batch_id, row_in_batch, input_ids, attention_mask, labels``.
+
+    ``samples`` as :func:`train_samples` or :func:`val_samples` leave them. A short packed sample stays
+    last in its shard, except where training keeps and shuffles it.
+    """
+    short_is_last = cfg.pack_sequences and (cfg.drop_last_block or cfg.shuffle_buffer_size <= 1)
     batches = batch_blocks(samples, cfg.batch_size)
-    return collate(batches, pad, groups).select(
+    return collate(batches, pad, groups, _packed_width(cfg) if short_is_last else None).select(
         *groups, "batch_id", "row_in_batch", "input_ids", "attention_mask", "labels"
     )

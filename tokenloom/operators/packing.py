@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -159,16 +159,18 @@ def pack_blocks(
     by: Sequence[str] = (),
     ascii_only: bool = False,
     number_col: str = "line_no",
+    prepare: Callable[[DataFrame], DataFrame] = nonblank_lines,
 ) -> DataFrame:
     """Shard, strip, encode with an EOS behind every line, pack: ``by, shard, block, input_ids, n``.
 
-    The raw lines are sorted, then encoded: the sort's sampling pass would otherwise encode them once more.
+    The raw lines are sorted, then prepared and encoded: the sort's sampling pass would otherwise do that
+    work once more. ``prepare`` works row by row on the column ``text`` and may drop rows (cleaning, say).
     """
     if isinstance(encode, Tokenizer):
         eos = encode.eos_id
     fn = _encode_fn(lines, encode, ascii_only)
     groups = [*by, "shard"]
     texts = shard_lines(lines, shards, number_col).select(*groups, *ORDER, F.col(text_col).alias("text"))
-    texts = nonblank_lines(texts.orderBy(*groups, *ORDER))
+    texts = prepare(texts.orderBy(*groups, *ORDER))
     encoded = with_computed(texts, "input_ids", append_eos(fn(F.col("text")), eos)).drop("text")
     return pack_ids(encoded, max_length, drop_last, groups, in_order=True)

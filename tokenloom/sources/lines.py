@@ -11,10 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import strip_text, with_computed
-from tokenloom.staging import stage
+from tokenloom.staging import broadcast_within, stage
 
 ORDER = ("doc_id", "line_no")
 
+# File blocks (128 MB by default) whose line offsets are broadcast; more are joined by shuffling.
+_BLOCKS_IN_MEMORY = 2_000_000
+
 
 def split_lines(text: Column) -> Column:
     """Lines of a text as reading it as a file would give them: any newline style, no empty last line."""
@@ -66,6 +69,7 @@ def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.sum("n").over(before)
     blocks = blocks.withColumn("shift", F.coalesce(earlier, F.lit(0)) - F.col("first_seq")).drop("n", "first_seq")
+    blocks = broadcast_within(stage(blocks, "text-blocks"), _BLOCKS_IN_MEMORY)
     return staged.join(blocks, ["file", "block"]).select(
         "file",
         F.xxhash64("file").alias("doc_id"),

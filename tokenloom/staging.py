@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_dirs: list[tempfile.TemporaryDirectory] = []
 
@@ -41,3 +42,8 @@ def stage(df: DataFrame, name: str, path: str | None = None, partition_by: tuple
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a (staged, small) table after counting it; above ``rows`` leave the join to shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

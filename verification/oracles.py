@@ -490,9 +490,10 @@ ORACLES: dict[str, str] = {
     ),
     "repeated_ngrams": sql(
         "enc",
-        """SELECT doc_id, line_no, array_to_string(g, ' ') AS ngram, count(*) AS n
-           FROM (SELECT doc_id, line_no, ids[i:i + 3] AS g FROM (SELECT *, unnest(range(1, len(ids) - 2)) AS i FROM enc))
-           GROUP BY doc_id, line_no, g HAVING count(*) > 1""",
+        """SELECT doc_id, line_no, a || ' ' || b || ' ' || c || ' ' || d AS ngram, count(*) AS n
+           FROM (SELECT doc_id, line_no, ids[i] AS a, ids[i + 1] AS b, ids[i + 2] AS c, ids[i + 3] AS d
+                 FROM (SELECT *, unnest(range(1, len(ids) - 2)) AS i FROM enc))
+           GROUP BY doc_id, line_no, a, b, c, d HAVING count(*) > 1""",
     ),
     "token_repetition": sql(
         "enc",

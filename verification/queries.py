@@ -83,6 +83,11 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.clean_lines(lines(spark, sf_dir), CLEANING)
 
 
+def cleaned_text(rows: DataFrame) -> DataFrame:
+    """Cleaning as a preparation of packing: raw lines are sorted first, then cleaned and encoded."""
+    return cl.clean_lines(rows, CLEANING, out="text")
+
+
 def kept_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wd.word_filter(wd.word_counts(clean(spark, sf_dir), "clean"), TOKENIZER)
 
@@ -396,10 +401,9 @@ def append_eos(spark, sf_dir):
     return _shown_rows(encoded(spark, sf_dir).withColumn("input_ids", pk.append_eos(F.col("input_ids"), eos)), "input_ids")
 
 
-def _blocks(spark, sf_dir, drop_last: bool = False, rows: DataFrame | None = None) -> DataFrame:
-    rows = clean(spark, sf_dir) if rows is None else rows
+def _blocks(spark, sf_dir, drop_last: bool = False) -> DataFrame:
     return pk.pack_blocks(
-        rows, fitted(spark, sf_dir), BLOCK, SHARDS, drop_last, text_col="clean", ascii_only=True
+        lines(spark, sf_dir), fitted(spark, sf_dir), BLOCK, SHARDS, drop_last, ascii_only=True, prepare=cleaned_text
     )
 
 
@@ -409,12 +413,10 @@ def _shown_blocks(blocks: DataFrame) -> DataFrame:
 
 @query
 def pack_blocks(spark, sf_dir):
-    by_lang = ln.doc_lines(table(spark, sf_dir, "documents"), keep=("lang",))
-    rows = cl.clean_lines(by_lang, CLEANING)
+    rows = ln.doc_lines(table(spark, sf_dir, "documents"), keep=("lang",))
+    tok = fitted(spark, sf_dir)
     return _shown_blocks(
-        pk.pack_blocks(
-            rows, fitted(spark, sf_dir), BLOCK, SHARDS, text_col="clean", by=("lang",), ascii_only=True
-        )
+        pk.pack_blocks(rows, tok, BLOCK, SHARDS, by=("lang",), ascii_only=True, prepare=cleaned_text)
     )
 
 
@@ -429,9 +431,8 @@ def pack_keep_last(spark, sf_dir):
 
 
 def _train_val(spark, sf_dir) -> DataFrame:
-    rows = clean(spark, sf_dir)
-    train, val = (rows.filter(source_split() == s) for s in ("train", "validation"))
-    return bt.train_val_blocks(train, val, fitted(spark, sf_dir), LOADER, text_col="clean", ascii_only=True)
+    train, val = (lines(spark, sf_dir).filter(source_split() == s) for s in ("train", "validation"))
+    return bt.train_val_blocks(train, val, fitted(spark, sf_dir), LOADER, ascii_only=True, prepare=cleaned_text)
 
 
 @query
@@ -451,10 +452,10 @@ def batch_blocks(spark, sf_dir):
 
 def _line_batches(spark, sf_dir) -> DataFrame:
     """Batches of single lines: unlike packed blocks their samples differ in length."""
-    numbered = clean(spark, sf_dir).withColumnRenamed("clean", "text")
     cfg = LoaderConfig(batch_size=8, max_length=LINE, num_workers=SHARDS, pack_sequences=False, shuffle_buffer_size=0)
-    samples = bt.split_samples(numbered, fitted(spark, sf_dir), cfg, ascii_only=True)
-    return bt.loader_batches(bt.val_samples(samples), cfg, fitted(spark, sf_dir).pad_id, ["shard"])
+    tok = fitted(spark, sf_dir)
+    samples = bt.split_samples(lines(spark, sf_dir), tok, cfg, ascii_only=True, prepare=cleaned_text)
+    return bt.loader_batches(bt.val_samples(samples), cfg, tok.pad_id, ["shard"])
 
 
 @query
