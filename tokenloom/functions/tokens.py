@@ -43,12 +43,17 @@ def length_mask(n: Column, width: int | Column | None = None) -> Column:
 
 
 def pad_mask(ids: Column, pad: int) -> Column:
-    """1 where the id differs from the padding id: the collator's mask, by value."""
-    return F.transform(ids, lambda x: F.when(x == pad, 0).otherwise(1).cast("int"))
+    """1 where the id differs from the padding id: the collator's mask, by value.
+
+    Rows without that id, all full blocks among them, skip the element-wise form.
+    """
+    by_element = F.transform(ids, lambda x: F.when(x == pad, 0).otherwise(1).cast("int"))
+    return F.when(F.array_contains(ids, pad), by_element).otherwise(_repeat(1, F.size(ids)))
 
 
 def labels_of(ids: Column, pad: int) -> Column:
-    return F.transform(ids, lambda x: F.when(x == pad, IGNORE_LABEL).otherwise(x).cast("int"))
+    by_element = F.transform(ids, lambda x: F.when(x == pad, IGNORE_LABEL).otherwise(x).cast("int"))
+    return F.when(F.array_contains(ids, pad), by_element).otherwise(ids)
 
 
 def uniform_hash(*parts: Column) -> Column:

@@ -71,9 +71,9 @@ def fan_out_sequences(prompts: DataFrame, n: int) -> DataFrame:
 
 
 def ngrams_of(ids: Column, n: int) -> Column:
-    """All runs of ``n`` adjacent ids; none if the row is shorter."""
-    starts = F.when(F.size(ids) >= n, F.sequence(F.lit(1), F.size(ids) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.slice(ids, i, n))
+    """All runs of ``n`` adjacent ids, each a struct: the row zipped with itself, shifted. Needs ``size >= n``."""
+    count = F.size(ids) - (n - 1)
+    return F.arrays_zip(*[F.slice(ids, F.lit(k + 1), count).alias(f"t{k}") for k in range(n)])
 
 
 def repeated_ngrams(
@@ -84,17 +84,17 @@ def repeated_ngrams(
     The grams of a row are sorted in place and only those equal to a neighbour leave it, so what is
     grouped is the repetition and not the corpus.
     """
-    sorted_grams = with_computed(encoded.select(*keys, ids_col), "grams", F.sort_array(ngrams_of(F.col(ids_col), n)))
-    grams = F.col("grams")
-    last = F.size(grams) - 1
-    again = F.filter(
-        grams,
-        lambda g, i: ((i > 0) & (g == F.get(grams, i - 1))) | ((i < last) & (g == F.get(grams, i + 1))),
+    long_enough = encoded.select(*keys, ids_col).filter(F.size(ids_col) >= n)
+    sorted_grams = with_computed(long_enough, "grams", F.sort_array(ngrams_of(F.col(ids_col), n)))
+    at = F.col("at")
+    neighbours = sorted_grams.select(*keys, "grams", F.explode(F.sequence(F.lit(0), F.size("grams") - 1)).alias("at")).select(
+        *keys, F.get("grams", at).alias("gram"), F.get("grams", at - 1).alias("before"), F.get("grams", at + 1).alias("after")
     )
+    again = neighbours.filter(F.col("gram").eqNullSafe(F.col("before")) | F.col("gram").eqNullSafe(F.col("after")))
     return (
-        sorted_grams.select(*keys, F.explode(again).alias("ngram"))
-        .groupBy(*keys, "ngram")
+        again.groupBy(*keys, "gram")
         .agg(F.count("*").alias("n"))
+        .select(*keys, F.array(*[f"gram.t{k}" for k in range(n)]).alias("ngram"), "n")
     )
 
 

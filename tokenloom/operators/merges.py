@@ -26,8 +26,8 @@ _JOINT = _CLOSE + _OPEN
 # The marker characters themselves, should a text hold them, are spelled with two characters each.
 _ESCAPES = {"\x00": "\x00a", _OPEN: "\x00b", _CLOSE: "\x00c"}
 
-_PAIRS_PER_ROUND = 64
-_PENDING_LIMIT = 32
+_PAIRS_PER_ROUND = 128
+_PENDING_LIMIT = 64
 
 
 def _wrap(word: Column) -> Column:

@@ -17,9 +17,9 @@ _MERGE_LIST = range(MERGES)
 
 
 def _unescape(x: str) -> str:
-    """The entities that occur in the given pages."""
-    for entity, code in (("&middot;", 183), ("&copy;", 169), ("&quot;", 34), ("&lt;", 60), ("&gt;", 62), ("&amp;", 38)):
-        x = f"replace({x}, '{entity}', chr({code}))"
+    """The entities that occur in the given pages; all of them also count without their semicolon."""
+    for name, code in (("middot", 183), ("copy", 169), ("quot", 34), ("lt", 60), ("gt", 62), ("amp", 38)):
+        x = f"regexp_replace({x}, '&{name};?', chr({code}), 'g')"
     return x
 
 
@@ -352,6 +352,8 @@ ORACLES: dict[str, str] = {
                    CAST(coalesce(sum(len(string_split(clean, ' '))), 0) AS BIGINT) AS tokens
             FROM (SELECT {_split_of('lines.doc_id')} AS split, clean FROM lines LEFT JOIN cl USING (doc_id, line_no)) GROUP BY split""",
     ),
+    # The given texts hold no compatibility forms of their own.
+    "nfkc_normalize": "SELECT doc_id, text FROM documents",
     "pretokenize": sql("occ", "SELECT doc_id, line_no, pos, word FROM occ"),
     "word_counts": sql("wc", f"SELECT word, freq, {_met()} FROM wc"),
     "word_filter": sql("w0", "SELECT word, freq FROM w0"),

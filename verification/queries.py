@@ -25,7 +25,7 @@ from tokenloom.plans.corpus import prepare_corpus
 from tokenloom.sources import lines as ln
 from tokenloom.sources.artifact import load_tokenizer, reuse_tokenizer, save_tokenizer
 from tokenloom.sources.tables import read_documents
-from tokenloom.staging import new_path
+from tokenloom.staging import new_path, stage
 from tokenloom.streaming import streams as sm
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -251,7 +251,11 @@ def cleaning_report(spark, sf_dir):
 
 @query
 def nfkc_normalize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", tx.unicode_normalize(F.col("text")).alias("text"))
+    """Letters, digits and spaces become compatibility forms first; normalizing must undo that."""
+    plain = "abcdefghijklmnopqrstuvwxyz0123456789"
+    wide = "".join(chr(ord(c) + 0xFEE0) for c in plain)
+    widened = F.translate("text", plain + " ", wide + "\u00a0")
+    return table(spark, sf_dir, "documents").select("doc_id", tx.unicode_normalize(widened).alias("text"))
 
 
 @query
@@ -504,9 +508,10 @@ def _pairs_of_split(spark, sf_dir) -> DataFrame:
 
 
 def _scorer(spark, sf_dir) -> tuple[DataFrame, DataFrame, int]:
+    """The pairs to score, the score table learned on the train split (written once), the vocabulary size."""
     pairs = _pairs_of_split(spark, sf_dir)
     size = len(fitted(spark, sf_dir))
-    return pairs, sc.bigram_table(pairs.filter("split = 'train'"), size), size
+    return pairs, stage(sc.bigram_table(pairs.filter("split = 'train'"), size), "bigrams"), size
 
 
 @query
@@ -517,7 +522,7 @@ def bigram_table(spark, sf_dir):
 
 def _losses(spark, sf_dir) -> DataFrame:
     pairs, scores, size = _scorer(spark, sf_dir)
-    return sc.masked_nll(pairs, scores, size, ["split", "shard", "batch_id"])
+    return sc.masked_nll(pairs, scores, size, ["split", "shard", "batch_id"], scores.count())
 
 
 @query
@@ -529,7 +534,7 @@ def masked_nll(spark, sf_dir):
 def perplexity(spark, sf_dir):
     _, scores, size = _scorer(spark, sf_dir)
     pairs = sc.next_token_pairs(encoded_with(spark, sf_dir), ["doc_id"])
-    losses = sc.perplexity(sc.masked_nll(pairs, scores, size, ["doc_id"]))
+    losses = sc.perplexity(sc.masked_nll(pairs, scores, size, ["doc_id"], scores.count()))
     return losses.select("doc_id", "n", rounded("nll"), rounded("perplexity"))
 
 
