@@ -44,6 +44,11 @@ def stage(df: DataFrame, name: str, path: str | None = None, partition_by: tuple
     return spark.read.schema(schema).parquet(path)
 
 
+def within(df: DataFrame, rows: int) -> bool:
+    """Whether a (staged, small) table has at most ``rows`` rows; counts no further than that."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a (staged, small) table after counting it; above ``rows`` leave the join to shuffle."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Broadcast a table after counting it; above ``rows`` leave the join to shuffle."""
+    return F.broadcast(df) if within(df, rows) else df

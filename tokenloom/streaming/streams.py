@@ -62,6 +62,8 @@ def stream_pack(encoded: DataFrame, max_length: int, path: str, eos: int | None
 
     def pack_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        # The ordering sort samples its input: without this the batch would be cleaned and encoded twice.
+        batch.persist()
         before = _state(spark, path, batch_id - 1)
         held = before.select("shard", F.lit(0).alias("late"), *_no_line(), F.col("input_ids"))
         arrived = batch.select(
@@ -84,6 +86,7 @@ def stream_pack(encoded: DataFrame, max_length: int, path: str, eos: int | None
             "shard", "block", F.coalesce("input_ids", empty).alias("input_ids"), F.size(F.coalesce("input_ids", empty)).alias("n")
         )
         after.coalesce(1).write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
+        batch.unpersist()
 
     return encoded.writeStream.foreachBatch(pack_batch).option("checkpointLocation", f"{path}/checkpoint")
 
