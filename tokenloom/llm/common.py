@@ -41,19 +41,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     The folder goes with the application. Executors can be lost at any time: what follows re-reads files.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = owned_path(spark, name)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
         out = stage(df, name, path)
     finally:
         spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
-    folder, fs = _file_system(spark, path)
-    fs.deleteOnExit(folder)
     out.staged_at = path
     return out
 
 
+def owned_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared place, removed when the application ends."""
+    path = new_path(spark, name)
+    folder, fs = _file_system(spark, path)
+    fs.deleteOnExit(folder)
+    return path
+
+
 def _file_system(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())

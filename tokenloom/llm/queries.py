@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm import quality_rules as rules
-from tokenloom.llm import sharding
+from tokenloom.llm import sharding, token_files, trie_bpe
+from tokenloom.llm.common import owned_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +86,31 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot; counts are at most one apart."""
     placed = sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS, SHARD_SEED)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def tokenizer_file(name: str) -> str:
+    """The place of a public vocabulary file, on this machine as on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def byte_files() -> tuple[str, str]:
+    return tokenizer_file("byte_bpe_50k.tiktoken"), tokenizer_file("byte_bpe_50k.json")
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the ids of all documents as files, and describe what is read back."""
+    path = owned_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, *byte_files(), end_id=0)
+    return token_files.with_crc32(token_files.read_tokens(spark, path))
+
+
+@query
+def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    path = tokenizer_file("word_bpe_49k.json")
+    rows = trie_bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    done = trie_bpe.ids_as_bytes(trie_bpe.decode_documents(rows, path))
+    return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
