@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.llm import html_text, sharding, token_files, trie_bpe
 from tokenloom.llm import quality_rules as rules
-from tokenloom.llm import sharding, token_files, trie_bpe
 from tokenloom.llm.common import owned_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,10 @@ def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = trie_bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
     done = trie_bpe.ids_as_bytes(trie_bpe.decode_documents(rows, path))
     return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query
+def op1_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    rows = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
