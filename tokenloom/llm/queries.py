@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html_text, sharding, token_files, trie_bpe
+from tokenloom.llm import html_text, jaccard_join, sharding, token_files, trie_bpe
 from tokenloom.llm import quality_rules as rules
 from tokenloom.llm.common import owned_path
 
@@ -121,3 +121,23 @@ def op1_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     rows = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
     return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under word 5-grams with similarity 0.8 or more."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+ORACLES["op4_jaccard_join"] = r"""WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i : i + 4], ' ')) END) AS s FROM d),
+tok AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS c
+    FROM tok a JOIN tok b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common WHERE 100 * c >= 80 * (nx + ny - c)),
+both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT x, y FROM both_ways UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(r.y), s.doc_id)) AS component_id
+FROM sets s LEFT JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, len(s.s)"""
