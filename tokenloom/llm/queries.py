@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html_text, jaccard_join, sharding, token_files, trie_bpe
+from tokenloom.llm import html_text, jaccard_join, multi_index, sharding, token_files, trie_bpe
 from tokenloom.llm import quality_rules as rules
 from tokenloom.llm.common import owned_path
 
@@ -141,3 +141,9 @@ both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
 reach AS (SELECT x, y FROM both_ways UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(r.y), s.doc_id)) AS component_id
 FROM sets s LEFT JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, len(s.s)"""
+
+
+@query
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every 50th vector among all vectors."""
+    return multi_index.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
