@@ -160,6 +160,11 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return out
 
 
+def joined_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of each ordered pair of hashes."""
+    return _mixed(a * _BASE + b)
+
+
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """A hash of each run of ``size`` word hashes; empty when there are fewer."""
     n = len(words) - size + 1

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html_text, jaccard_join, multi_index, sharding, token_files, trie_bpe
+from tokenloom.llm import html_text, jaccard_join, multi_index, sharding, substring_dedup, token_files, trie_bpe
 from tokenloom.llm import quality_rules as rules
-from tokenloom.llm.common import owned_path
+from tokenloom.llm.common import SPACE_CLASS, owned_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +147,23 @@ FROM sets s LEFT JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, len(s.s)"""
 def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of every 50th vector among all vectors."""
     return multi_index.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 13-word windows that earlier documents have."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = substring_dedup.remove_repeats(docs).select("doc_id", "deduped.*")
+    words = F.array_remove(F.split("text", f"{SPACE_CLASS}+"), "")
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(F.encode(F.array_join(words, " "), "UTF-8"), 256).alias("kept_sha256"))
+
+
+ORACLES["op7_substring_dedup"] = r"""WITH
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS p, unnest(list_transform(range(1, len(ws) - 11), lambda i: array_to_string(ws[i : i + 12], ' '))) AS g FROM d),
+rep AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY g) AS m FROM win) WHERE m < doc_id),
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM rep, range(13) r(k)),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.p) AS t, count(*) AS n FROM w ANTI JOIN gone USING (doc_id, p) GROUP BY w.doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
