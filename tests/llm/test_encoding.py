@@ -32,11 +32,11 @@ def test_byte_ids_equal_the_library(texts):
 
 
 def test_word_ids_equal_the_library(texts):
-    library, own = Tokenizer.from_file(WORD), trie_bpe.TrieEncoder(WORD)
+    library, own, names = Tokenizer.from_file(WORD), trie_bpe.TrieEncoder(WORD), trie_bpe.token_names(WORD)
     for t, found in zip(texts[1:], own.encode_all(texts[1:]), strict=True):
         ids = library.encode(t, add_special_tokens=False).ids
         assert np.frombuffer(found, "<u4").tolist() == ids
-        assert own.decode(np.array(ids, np.int64)) == library.decode(ids, skip_special_tokens=False)
+        assert trie_bpe.decoded(np.array(ids, np.int64), names) == library.decode(ids, skip_special_tokens=False)
 
 
 def test_word_documents(spark, texts):
@@ -44,9 +44,10 @@ def test_word_documents(spark, texts):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts[:80])], "doc_id long, text string, ids string")
     rows = trie_bpe.encode_documents(docs, WORD)
     assert rows.columns == ["doc_id", "text", "ids", "_ids"]
-    for r in trie_bpe.ids_as_bytes(trie_bpe.decode_documents(rows, WORD, "_ids"), "_ids").collect():
+    for r in trie_bpe.digests(trie_bpe.decode_documents(rows, WORD, "_ids"), WORD, "_ids").collect():
         ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
         assert r.decoded == library.decode(ids, skip_special_tokens=False)
     assert trie_bpe.encode_documents(docs.limit(0), WORD).collect() == []
 

@@ -112,8 +112,7 @@ def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     path = tokenizer_file("word_bpe_49k.json")
     rows = trie_bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    done = trie_bpe.ids_as_bytes(trie_bpe.decode_documents(rows, path))
-    return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+    return trie_bpe.digests(rows, path)
 
 
 @query

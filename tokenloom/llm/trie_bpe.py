@@ -12,6 +12,8 @@ of states is cut back to the prefix shared with the word before and extended fro
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -24,11 +26,19 @@ from tokenloom.llm.byte_bpe import task_cache
 from tokenloom.llm.common import fresh, kept_names, text_slices
 
 END = "</w>"
-#: Chunks whose ids a task keeps, and the longest that it keeps.
-MEMO_CHUNKS, MEMO_BYTES = 400_000, 200
+#: Chunks, and words, whose ids a task keeps, and the longest that it keeps.
+MEMO, MEMO_BYTES = 300_000, 200
+SLICE = 12 << 20
+#: Pairs of neighbours that a task remembers.
+MEMO_PAIRS = 300_000
 _NEVER = 1 << 40
-# What the vocabulary takes as words in lower-case ASCII text without white space.
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Printable ASCII and composed Latin letters: these need no normalization, and fold as everywhere.
+_LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+# What the vocabulary takes as words in such text in lower case, without white space.
+_LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# Fixed rule: byte-level vocabularies write bytes without a printable character as letters from 256 on, in order.
+_HIDDEN = [*range(33), *range(127, 161), 173]
+_LETTERS = {b: 256 + n for n, b in enumerate(_HIDDEN)}
 
 
 class TrieEncoder:
@@ -41,9 +51,6 @@ class TrieEncoder:
         self._library = Tokenizer.from_file(path)
         self._id: dict[str, int] = dict(model["vocab"])
         self.specials: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens: list[str] = [""] * (max([*self._id.values(), *self.specials.values()], default=-1) + 1)
-        for token, i in {**self._id, **self.specials}.items():
-            self.tokens[i] = token
         self._split = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         self._rank: dict[tuple[str, str], int] = {}
         for rank, merge in enumerate(model["merges"]):
@@ -51,7 +58,7 @@ class TrieEncoder:
             self._rank.setdefault((left, right), rank)
         self._borders()
         self._together: dict[tuple[str, str], bool] = {}
-        self._memo: dict[bytes, bytes] = {}
+        self._memo, self._word_memo = Memo(MEMO, MEMO_BYTES), Memo(MEMO, MEMO_BYTES)
 
     def _borders(self) -> None:
         """For each token: the tokens that successively end at its right border and begin at its left one.
@@ -90,7 +97,7 @@ class TrieEncoder:
         """Ids of distinct byte-level words (little-endian unsigned 32-bit), by one depth-first walk over their trie."""
         out: dict[str, bytes] = {}
         known, together, apart, longest, code = self._right, self._together, self._apart, self._longest, self._bytes
-        if len(together) >= 2_000_000:
+        if len(together) >= MEMO_PAIRS:
             together.clear()
         states: list[str] = [""]  # states[k] is the last token of the current word's first k letters
         before = ""
@@ -132,32 +139,70 @@ class TrieEncoder:
 
     def _words(self, chunk: str) -> list[str]:
         """Byte-level words of a chunk without ASCII white space."""
-        if chunk.isascii() and chunk.isprintable():
-            return _ASCII_WORDS.findall(chunk.lower())
+        if _LATIN.fullmatch(chunk):
+            words = _LATIN_WORDS.findall(chunk.lower())
+            return words if chunk.isascii() else [w if w.isascii() else _byte_level(w) for w in words]
         normal = self._library.normalizer.normalize_str(chunk)
         return [w for w, _ in self._library.pre_tokenizer.pre_tokenize_str(normal)]
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         words = {c: self._words(c.decode()) for c in chunks}
-        ids = self.encode_words(w for ws in words.values() for w in ws)
+        ids = self._word_memo.get_all({w for ws in words.values() for w in ws}, self.encode_words)
         return {c: ids[ws[0]] if len(ws) == 1 else b"".join(map(ids.__getitem__, ws)) for c, ws in words.items()}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        parts = [[t] if self._split is None or "<" not in t else self._split.split(t) for t in texts]
-        chunks = [[p if p in self.specials else p.encode().split() for p in ps] for ps in parts]
-        wanted = {c for cs in chunks for p in cs if not isinstance(p, str) for c in p}
-        if len(self._memo) + len(wanted) > MEMO_CHUNKS:
-            self._memo.clear()
-        found = self._learn(wanted - self._memo.keys())
-        self._memo.update((c, v) for c, v in found.items() if len(c) <= MEMO_BYTES)
-        get = {**found, **{c: self._memo[c] for c in wanted & self._memo.keys()}} if len(found) < len(wanted) else found
-        special = {t: np.array([i], "<u4").tobytes() for t, i in self.specials.items()}
-        return [b"".join([special[p] if isinstance(p, str) else b"".join(map(get.__getitem__, p)) for p in cs]) for cs in chunks]
+        """Ids of whole texts as little-endian unsigned 32-bit integers.
 
-    def decode(self, ids: np.ndarray) -> str:
-        """The vocabulary file names no decoder, for which its library joins the tokens by spaces."""
-        return " ".join(map(self.tokens.__getitem__, ids.tolist()))
+        The collector of cycles pauses: there are none, and looking for them among so many small objects takes a third of the time.
+        """
+        paused = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_all(texts)
+        finally:
+            if paused:
+                gc.enable()
+
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
+        parts = [[t] if self._split is None or "<" not in t else self._split.split(t) for t in texts]
+        wanted: set[bytes] = set()
+        for part in parts:
+            for p in part:
+                if p not in self.specials:
+                    wanted.update(p.encode().split())
+        get = self._memo.get_all(wanted, self._learn).__getitem__
+        special = {t: i.to_bytes(4, "little") for t, i in self.specials.items()}
+        return [b"".join([special[p] if p in special else b"".join(map(get, p.encode().split())) for p in part]) for part in parts]
+
+
+def _byte_level(word: str) -> str:
+    """A word of Latin letters as the vocabulary writes its UTF-8 bytes."""
+    return word.encode().decode("latin-1").translate(_LETTERS)
+
+
+class Memo:
+    """Remembers what was asked for lately: when the newer half is full, the older one goes."""
+
+    def __init__(self, size: int, longest: int):
+        self._size, self._longest = size // 2, longest
+        self._old: dict = {}
+        self._new: dict = {}
+
+    def get_all(self, wanted: set, learn) -> dict:
+        out, new = {}, set()
+        for key in wanted:
+            value = self._new.get(key) or self._old.get(key)
+            if value is None:
+                new.add(key)
+            else:
+                out[key] = value
+        out.update(learn(new))
+        for key in out:
+            if len(key) <= self._longest:
+                self._new[key] = out[key]
+                if len(self._new) > self._size:
+                    self._old, self._new = self._new, {}
+        return out
 
 
 def encoder(path: str) -> TrieEncoder:
@@ -167,6 +212,25 @@ def encoder(path: str) -> TrieEncoder:
     return cache["trie", path]
 
 
+def token_names(path: str) -> list[str]:
+    """Tokens by id; "" where there is none."""
+    cache = task_cache()
+    if ("names", path) not in cache:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        ids = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+        names = [""] * (max(ids.values(), default=-1) + 1)
+        for token, i in ids.items():
+            names[i] = token
+        cache["names", path] = names
+    return cache["names", path]
+
+
+def decoded(ids: np.ndarray, names: list[str]) -> str:
+    """The vocabulary file names no decoder, for which its library joins the tokens by spaces."""
+    return " ".join(map(names.__getitem__, ids.tolist()))
+
+
 def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """Add ``ids`` (array of int) of every whole text. Nulls and texts without words have no ids.
 
@@ -177,7 +241,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for rows, _, _ in text_slices(batches, text_col):
+        for rows, _, _ in text_slices(batches, text_col, SLICE):
             found = enc.encode_all([t or "" for t in rows.column(text_col).to_pylist()])
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int64)
             ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
@@ -187,21 +251,23 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
     return docs.select(*kept_names(docs)).mapInArrow(run, f"{_ddl(docs)}, `{out}` array<int>")
 
 
+def _each_ids(batch: pa.RecordBatch, ids_col: str) -> Iterator[np.ndarray | None]:
+    lists = batch.column(ids_col)
+    values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    for i in range(batch.num_rows):
+        yield values[offsets[i] : offsets[i + 1]] if lists[i].is_valid else None
+
+
 def decode_documents(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """Add ``decoded``, the text that the ids stand for. Null ids give null."""
     out = fresh(rows, "decoded")[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        names = token_names(path)
         for batch in batches:
-            lists = batch.column(ids_col)
-            values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
             for lo in range(0, batch.num_rows, 256):
-                hi = min(lo + 256, batch.num_rows)
-                texts = [
-                    enc.decode(values[offsets[i] : offsets[i + 1]]) if lists[i].is_valid else None for i in range(lo, hi)
-                ]
-                part = batch.slice(lo, hi - lo)
+                part = batch.slice(lo, 256)
+                texts = [None if ids is None else decoded(ids, names) for ids in _each_ids(part, ids_col)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out])
 
     return rows.mapInArrow(run, f"{_ddl(rows)}, `{out}` string")
@@ -211,20 +277,24 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
 
 
-def ids_as_bytes(rows: DataFrame, ids_col: str = "ids") -> DataFrame:
-    """Add ``n_tokens`` (long) and ``ids_sha256`` of the ids as little-endian unsigned 32-bit integers, for ``ids_col``."""
-    import hashlib
+def digests(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
+    """For ``ids_col``: ``n_tokens`` (long), ``ids_sha256`` of the ids as little-endian unsigned 32-bit integers, and
+    ``decoded_sha256`` of the decoded text in UTF-8, which is decoded and hashed row by row. Null ids count as none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = token_names(path)
         for batch in batches:
-            lists = batch.column(ids_col)
-            values = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<u4")).cast("B")
-            at = lists.offsets.to_numpy().tolist()
-            sums = [hashlib.sha256(values[4 * a : 4 * b]).hexdigest() for a, b in zip(at[:-1], at[1:], strict=True)]
-            counts = [b - a for a, b in zip(at[:-1], at[1:], strict=True)]
-            columns = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != ids_col]
-            names = [n for n in batch.schema.names if n != ids_col]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(sums, pa.string())], names=[*names, "n_tokens", "ids_sha256"])
+            counts, sums, texts = [], [], []
+            for ids in _each_ids(batch, ids_col):
+                ids = np.zeros(0, np.int32) if ids is None else ids
+                counts.append(len(ids))
+                sums.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
+                texts.append(hashlib.sha256(decoded(ids, names).encode()).hexdigest())
+            kept = [n for n in batch.schema.names if n != ids_col]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(n) for n in kept], pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())],
+                names=[*kept, "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != ids_col)
-    return rows.mapInArrow(run, f"{schema}, n_tokens long, ids_sha256 string")
+    return rows.mapInArrow(run, f"{schema}, n_tokens long, ids_sha256 string, decoded_sha256 string")
