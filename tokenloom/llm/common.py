@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.staging import new_path, stage
@@ -81,6 +81,21 @@ def text_of(df: DataFrame, text_col: str) -> Column:
     return F.coalesce(col(df, text_col).cast("string"), F.lit(""))
 
 
+def running_sums(df: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:
+    """Add for each ``out: weight`` the total weight of all earlier rows in ``order``, which tells rows apart.
+
+    Rows are sorted by range; each piece sums up its own rows, and only one total per piece is summed globally.
+    """
+    part, *bases = fresh(df, "_part", *[f"_base{i}" for i in range(len(sums))])
+    placed = staged(df.repartitionByRange(*[col(df, c) for c in order]).withColumn(part, F.spark_partition_id()), "in-order")
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per written piece
+    totals = placed.groupBy(part).agg(*[F.sum(w).alias(b) for b, w in zip(bases, sums.values(), strict=True)])
+    totals = totals.select(part, *[F.coalesce(F.sum(b).over(before), F.lit(0)).alias(b) for b in bases])
+    inside = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    joined = placed.select("*", *[F.coalesce(F.sum(w).over(inside), F.lit(0)).alias(o) for o, w in sums.items()]).join(totals, part)
+    return joined.select(*kept_names(df), *[(F.col(o) + F.col(b)).cast("long").alias(o) for o, b in zip(sums, bases, strict=True)])
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 22) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut batches into runs of rows with about ``size`` bytes of text; a longer text comes alone.
 

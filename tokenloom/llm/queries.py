@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html_text, jaccard_join, multi_index, sharding, substring_dedup, token_files, trie_bpe
+from tokenloom.llm import html_text, jaccard_join, multi_index, packing, sharding, substring_dedup, token_files, trie_bpe
 from tokenloom.llm import quality_rules as rules
 from tokenloom.llm.common import SPACE_CLASS, owned_path
 
@@ -166,3 +166,11 @@ w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d)
 kept AS (SELECT w.doc_id, string_agg(w.w, ' ' ORDER BY w.p) AS t, count(*) AS n FROM w ANTI JOIN gone USING (doc_id, p) GROUP BY w.doc_id)
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query
+def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences of at most 2048 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.described(packing.pack_documents(docs, *byte_files(), end_id=1))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
