@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html_text, jaccard_join, multi_index, packing, sharding, substring_dedup, token_files, trie_bpe
+from tokenloom.llm import html_text, jaccard_join, multi_index, packing, quality_lm, sharding, substring_dedup, token_files, trie_bpe
 from tokenloom.llm import quality_rules as rules
 from tokenloom.llm.common import SPACE_CLASS, owned_path
 
@@ -174,3 +174,10 @@ def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pieces = packing.described(packing.pack_documents(docs, *byte_files(), end_id=1))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_lm.classified(docs, table(spark, sf_dir, "labels")).drop("mark")
