@@ -103,10 +103,9 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 <<
     """
     for batch in batches:
         texts = batch.column(column)
-        if not pa.types.is_large_string(texts.type):
-            texts = texts.cast(pa.large_string())
+        width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
         n, at = len(texts), texts.offset
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[at : at + n + 1] if n else np.zeros(1, np.int64)
+        offsets = np.frombuffer(texts.buffers()[1], width)[at : at + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
         data = np.frombuffer(texts.buffers()[2], np.uint8) if n and texts.buffers()[2] is not None else np.zeros(0, np.uint8)
         lo = 0
         while lo < n:

@@ -111,7 +111,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     path = tokenizer_file("word_bpe_49k.json")
-    rows = trie_bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    rows = trie_bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path, keep=["doc_id"])
     return trie_bpe.digests(rows, path)
 
 

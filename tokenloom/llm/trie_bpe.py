@@ -27,10 +27,10 @@ from tokenloom.llm.common import fresh, kept_names, text_slices
 
 END = "</w>"
 #: Chunks, and words, whose ids a task keeps, and the longest that it keeps.
-MEMO, MEMO_BYTES = 300_000, 200
-SLICE = 12 << 20
+MEMO, MEMO_BYTES = 150_000, 200
+SLICE = 8 << 20
 #: Pairs of neighbours that a task remembers.
-MEMO_PAIRS = 300_000
+MEMO_PAIRS = 150_000
 _NEVER = 1 << 40
 # Printable ASCII and composed Latin letters: these need no normalization, and fold as everywhere.
 _LATIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -231,13 +231,14 @@ def decoded(ids: np.ndarray, names: list[str]) -> str:
     return " ".join(map(names.__getitem__, ids.tolist()))
 
 
-def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Add ``ids`` (array of int) of every whole text. Nulls and texts without words have no ids.
 
-    No shuffle: every row stays where it is, repeated rows are encoded alike, and columns are kept
+    No shuffle: every row stays where it is, repeated rows are encoded alike. All columns are kept, or those in ``keep``
     (``ids`` gets underscores in front if it is taken).
     """
     out = fresh(docs, "ids")[0]
+    keep = docs.columns if keep is None else keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
@@ -246,9 +247,10 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
             offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype(np.int64)
             ids = pa.array(np.frombuffer(b"".join(found), "<i4"))
             lists = pa.LargeListArray.from_arrays(pa.array(offsets), ids).cast(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, lists], names=[*rows.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in keep], lists], names=[*keep, out])
 
-    return docs.select(*kept_names(docs)).mapInArrow(run, f"{_ddl(docs)}, `{out}` array<int>")
+    kinds = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes if c in keep)
+    return docs.select(*kept_names(docs)).mapInArrow(run, f"{kinds}, `{out}` array<int>")
 
 
 def _each_ids(batch: pa.RecordBatch, ids_col: str) -> Iterator[np.ndarray | None]:
