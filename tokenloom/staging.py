@@ -1,35 +1,41 @@
 """Tables that cut lineage: written once to the cluster's shared checkpoint folder, then read back.
 
 A written table outlives any executor, so a lost node costs a re-read and not a recomputation of the
-whole plan, and later jobs all see the same rows in the same layout.
+whole plan, and later jobs all see the same rows in the same layout. The application owns what it stages:
+its paths are removed when it ends, and `discard` removes one as soon as nothing reads it any more.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-_local_dirs: list[tempfile.TemporaryDirectory] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a private one only on an unset local session."""
+    """The folder named by ``spark.checkpoint.dir``, else one in the warehouse, which a cluster shares as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    holder = tempfile.TemporaryDirectory(prefix="tokenloom-")
-    _local_dirs.append(holder)
-    spark.sparkContext.setCheckpointDir(holder.name)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def _on_store(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path nobody has used, removed with the application."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder, store = _on_store(spark, path)
+    store.deleteOnExit(folder)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    folder, store = _on_store(spark, path)
+    store.delete(folder, True)
 
 
 def stage(df: DataFrame, name: str, path: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -42,13 +48,3 @@ def stage(df: DataFrame, name: str, path: str | None = None, partition_by: tuple
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(schema).parquet(path)
-
-
-def within(df: DataFrame, rows: int) -> bool:
-    """Whether a (staged, small) table has at most ``rows`` rows; counts no further than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table after counting it; above ``rows`` leave the join to shuffle."""
-    return F.broadcast(df) if within(df, rows) else df
