@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tokenloom.llm.packing import combinations, described, nnls, pack_documents, plan_rests
+from tokenloom.llm.packing import combinations, nnls, pack_documents, plan_rests
 
 BYTE = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -78,6 +78,6 @@ def test_packed_documents(spark):
     for doc_id, places in per_doc.items():
         times = sum(i == doc_id for i, _, _ in rows)
         assert sorted(places) == sorted([*range(len(ids_of[doc_id]))] * times)
-    sums = {(r.doc_id, r.start, r.ids_crc32) for r in described(pieces).collect()}
+    sums = {(r.doc_id, r.start, r.ids_crc32) for r in pack_documents(docs, *BYTE, end_id=1, checksums=True).collect()}
     assert sums == {(r.doc_id, r.start, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in got}
     assert pack_documents(docs.limit(0), *BYTE, end_id=1).collect() == []

@@ -29,17 +29,24 @@ class ByteEncoder:
 
     def __init__(self, ranks: str, vocabulary: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._fast = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-        self._whole = Tokenizer.from_file(vocabulary)
+        self._vocabulary, self._library = vocabulary, None
+
+    def _whole(self, text: str) -> np.ndarray:
+        """By the slower library, which is loaded where it is needed."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+
+            self._library = Tokenizer.from_file(self._vocabulary)
+        return np.asarray(self._library.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a whole text. Very long white space goes to the slower library, whose pattern search has no limit."""
         if len(text) >= _LONG_RUN and _LONG_SPACE.search(text):
-            return np.asarray(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
+            return self._whole(text)
         parts = text.split(END_TEXT)
         if len(parts) == 1:
             return self._fast.encode_to_numpy(text)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tokenloom.staging import new_path, stage
+from tokenloom.staging import discard, new_path
 
 # Words are the runs of characters other than these; no UTF-8 continuation byte is among them.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -35,41 +35,29 @@ def col(df: DataFrame, name: str) -> Column:
     return df[f"`{name.replace('`', '``')}`"]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back; the job's shuffle files go when it has ended.
 
     The folder goes with the application. Executors can be lost at any time: what follows re-reads files.
     """
     spark = df.sparkSession
-    path = owned_path(spark, name)
+    path = new_path(spark, name)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        out = stage(df, name, path)
+        schema = df.schema
+        df.write.options(**options).parquet(path)
+        out = spark.read.schema(schema).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before) if before is not None else spark.conf.unset(_CLEANUP)
     out.staged_at = path
     return out
 
 
-def owned_path(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared place, removed when the application ends."""
-    path = new_path(spark, name)
-    folder, fs = _file_system(spark, path)
-    fs.deleteOnExit(folder)
-    return path
-
-
-def _file_system(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def drop_staged(*tables: DataFrame) -> None:
     """Remove staged tables that no later step reads."""
     for df in tables:
-        folder, fs = _file_system(df.sparkSession, df.staged_at)
-        fs.delete(folder, True)
+        discard(df.sparkSession, df.staged_at)
 
 
 def kept_names(df: DataFrame) -> list[Column]:

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.byte_bpe import encoded_rows, id_lists
+from tokenloom.llm.byte_bpe import encoded_rows
 from tokenloom.llm.common import col, running_sums, staged, text_of, text_slices
 
 WINDOW = 2048
@@ -185,7 +185,9 @@ def _greedy(plan: Plan, counts: np.ndarray, left: np.ndarray, window: int) -> No
         plan.sequences += repeat
 
 
-_ENCODED = "doc_id long, row long, n long, ids array<int>"
+# Ids between the steps are bytes, two for each while all ids fit in them: nothing looks at single ids there.
+_ENCODED = "doc_id long, row long, n long, codes binary"
+CODE = np.dtype("<u2")
 
 
 def _encode(ranks: str, vocabulary: str, end_id: int):
@@ -193,20 +195,38 @@ def _encode(ranks: str, vocabulary: str, end_id: int):
         row = TaskContext.get().partitionId() << 40
         for rows, ids, offsets in encoded_rows(batches, text_slices, ranks, vocabulary, end_id):
             n = rows.num_rows
+            if len(ids) and int(ids.max()) > np.iinfo(CODE).max:
+                raise ValueError("the vocabulary is too large for two bytes an id")
+            data = pa.py_buffer(ids.astype(CODE).tobytes())
+            places = pa.py_buffer((offsets * CODE.itemsize).astype(np.int32).tobytes())
+            codes = pa.Array.from_buffers(pa.binary(), n, [None, places, data])
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(np.arange(row, row + n)), pa.array(np.diff(offsets)), id_lists(ids, offsets)],
-                names=["doc_id", "row", "n", "ids"],
+                [rows.column("doc_id"), pa.array(np.arange(row, row + n)), pa.array(np.diff(offsets)), codes],
+                names=["doc_id", "row", "n", "codes"],
             )
             row += n
 
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids of each piece, some documents at a time."""
-    for batch in batches:
-        lists, pieces = batch.column("ids"), batch.column("pieces")
-        values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+def _cut(checksums: bool):
+    """The ids of each piece, or their checksum, some documents at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _cut_batch(batch, checksums)
+
+    return run
+
+
+def _cut_batch(batch: pa.RecordBatch, checksums: bool) -> Iterator[pa.RecordBatch]:
+    if batch.num_rows:
+        codes, pieces = batch.column("codes").cast(pa.large_binary()), batch.column("pieces")
+        values = np.frombuffer(codes.buffers()[2], np.uint8)
+        offsets = np.frombuffer(codes.buffers()[1], np.int64)[codes.offset : codes.offset + len(codes) + 1]
+        first = int(offsets[0])
+        values = values[first : int(offsets[-1])].view(CODE)
+        offsets = (offsets - first) // CODE.itemsize
         fields = {f: pieces.values.field(f).to_numpy(zero_copy_only=False) for f in ("start", "length", "sequence_id", "offset")}
         spans = pieces.offsets.to_numpy()
         lo = 0
@@ -219,34 +239,47 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin = offsets[doc] + fields["start"][a:b]
             ends = np.cumsum(lengths)
             index = np.repeat(begin - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
-            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values[index]))
+            if checksums:
+                data = memoryview(np.ascontiguousarray(values[index], "<u4")).cast("B")
+                edges = [0, *ends.tolist()]
+                last = pa.array([zlib.crc32(data[4 * x : 4 * y]) for x, y in zip(edges[:-1], edges[1:], strict=True)], pa.int64())
+            else:
+                last = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values[index].astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(doc)),
                     *[pa.array(fields[f][a:b]) for f in ("start", "length")],
                     batch.column("n").take(pa.array(doc)),
                     *[pa.array(fields[f][a:b]) for f in ("sequence_id", "offset")],
-                    ids,
+                    last,
                 ],
-                names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
+                names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32" if checksums else "ids"],
             )
             lo = hi
 
 
-_PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids array<int>"
+_PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long"
 
 
 def pack_documents(
-    docs: DataFrame, ranks: str, vocabulary: str, end_id: int, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    ranks: str,
+    vocabulary: str,
+    end_id: int,
+    window: int = WINDOW,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    checksums: bool = False,
 ) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, doc_tokens, sequence_id, offset, ids``.
+    """One row per piece: ``doc_id, start, length, doc_tokens, sequence_id, offset, ids``; with ``checksums``,
+    ``ids_crc32`` of the ids as little-endian unsigned 32-bit integers in place of the ids.
 
     A document is the ids of its whole text and ``end_id``; a null or empty text is the end id alone. Every id lies in
     one piece, pieces of a sequence follow each other from 0 without gaps and hold at most ``window`` ids. Rows that
     repeat an id are documents of their own, null ids are kept, an empty table gives no pieces. Other columns are not read.
     """
     picked = docs.select(col(docs, id_col).cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
-    encoded = staged(picked.mapInArrow(_encode(ranks, vocabulary, end_id), _ENCODED), "encoded")
+    encoded = staged(picked.mapInArrow(_encode(ranks, vocabulary, end_id), _ENCODED), "encoded", compression="zstd")
     sizes = encoded.select("row", "n", (F.col("n") % window).cast("int").alias("rest"), F.expr(f"n div {window}").alias("whole"), "doc_id")
     # Ranks among all rests in the order of their length, and whole windows before each document in that order.
     ordered = running_sums(sizes.withColumn("one", F.lit(1)), ["rest", "doc_id", "row"], {"index": "one", "whole_before": "whole"})
@@ -285,19 +318,4 @@ def pack_documents(
         F.lit(0).cast("long").alias("offset"),
     )
     pieces = rests.unionByName(full).groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
-    return encoded.join(pieces, "row").select("doc_id", "n", "ids", "pieces").mapInArrow(_cut, _PIECES)
-
-
-def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        lists = batch.column("ids")
-        data = memoryview(np.ascontiguousarray(lists.values.to_numpy(zero_copy_only=False), "<u4")).cast("B")
-        at = lists.offsets.to_numpy().tolist()
-        sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(at[:-1], at[1:], strict=True)]
-        names = [n for n in batch.schema.names if n != "ids"]
-        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(sums, pa.int64())], names=[*names, "ids_crc32"])
-
-
-def described(pieces: DataFrame) -> DataFrame:
-    """``ids_crc32`` (of the ids as little-endian unsigned 32-bit integers) in place of the ids."""
-    return pieces.mapInArrow(_checksums, _PIECES.replace("ids array<int>", "ids_crc32 long"))
+    return encoded.join(pieces, "row").select("doc_id", "n", "codes", "pieces").mapInArrow(_cut(checksums), _PIECES + (", ids_crc32 long" if checksums else ", ids array<int>"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tokenloom.llm import html_text, jaccard_join, multi_index, packing, quality_lm, sharding, substring_dedup, token_files, trie_bpe
 from tokenloom.llm import quality_rules as rules
-from tokenloom.llm.common import SPACE_CLASS, owned_path
+from tokenloom.llm.common import SPACE_CLASS
+from tokenloom.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,7 +103,7 @@ def byte_files() -> tuple[str, str]:
 @query
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the ids of all documents as files, and describe what is read back."""
-    path = owned_path(spark, "token-files")
+    path = new_path(spark, "token-files")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, *byte_files(), end_id=0)
     return token_files.with_crc32(token_files.read_tokens(spark, path))
 
@@ -172,7 +173,7 @@ FROM d LEFT JOIN kept USING (doc_id)"""
 def op8_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed into sequences of at most 2048 ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = packing.described(packing.pack_documents(docs, *byte_files(), end_id=1))
+    pieces = packing.pack_documents(docs, *byte_files(), end_id=1, checksums=True)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
