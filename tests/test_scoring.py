@@ -29,8 +29,9 @@ def test_pairs_skip_ignored_labels(spark):
     assert [(r.k, r.pos, r.prev_id, r.next_id) for r in out] == [(1, 0, 1, 2), (1, 1, 2, 3)]
 
 
-@pytest.mark.parametrize("table_rows", [None, 10])
-def test_loss_against_plain_counting(spark, table_rows):
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+def test_loss_against_plain_counting(spark, broadcast):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     rng = random.Random(9)
     train = [[rng.randrange(6) for _ in range(20)] for _ in range(5)]
     held = [[rng.randrange(8) for _ in range(9)] for _ in range(4)]
@@ -42,14 +43,15 @@ def test_loss_against_plain_counting(spark, table_rows):
             pair[a, b] += 1
             single[a] += 1
     nll = lambda a, b: -math.log((pair[a, b] + 1) / (single[a] + 8))
-    losses = sc.perplexity(sc.masked_nll(sc.next_token_pairs(make(held), ["k"]), table, 8, ["k"], table_rows))
+    losses = sc.perplexity(sc.masked_nll(sc.next_token_pairs(make(held), ["k"]), table, 8, ["k"]))
     for r in losses.collect():
         expected = [nll(a, b) for a, b in zip(held[r.k], held[r.k][1:])]
         assert r.n == 8 and r.nll == pytest.approx(sum(expected) / 8)
         assert r.perplexity == pytest.approx(math.exp(sum(expected) / 8))
     total = sc.total_loss(losses).first()
-    overall = sc.masked_nll(sc.next_token_pairs(make(held), ["k"]), table, 8, [], table_rows).first()
+    overall = sc.masked_nll(sc.next_token_pairs(make(held), ["k"]), table, 8).first()
     assert total.n == overall.n == 32 and total.nll == pytest.approx(overall.nll)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_perplexity_is_capped_and_bad_losses_raise(spark):
@@ -129,5 +131,7 @@ def test_repetition(spark):
     assert got == expected
     tokens = {(r.k, r.token_id): r.n for r in cd.token_repetition(df, ["k"]).collect()}
     assert tokens == {(k, t): n for k, ids in enumerate(rows) for t, n in Counter(ids).items()}
+    plan = cd.token_repetition(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
     shares = {r.k: r.repeated_share for r in cd.repetition_share(df, ["k"]).collect()}
     assert shares == {k: pytest.approx(1 - len(set(ids)) / len(ids)) for k, ids in enumerate(rows) if ids}

@@ -87,4 +87,7 @@ def test_job_file(tmp_path):
     assert (cfg.cleaning.min_length, cfg.cleaning.lowercase, cfg.train_path, cfg.val_path) == (20, False, "a.txt", None)
     assert (cfg.tokenizer.vocab_size, cfg.tokenizer.min_frequency) == (99, 1)
     assert (cfg.loader.batch_size, cfg.loader.shards, LoaderConfig().shards) == (2, 2, 1)
-    assert load_job_config({}) == JobConfig()
+    assert load_job_config({}) == JobConfig(loader=LoaderConfig(num_workers=4))
+    for section in ({"data": {"cleaning": {"min_lenght": 3}}}, {"data": {"dataloader": {"workers": 1}}}, {"tokenizer": {"size": 1}}):
+        with pytest.raises(ValueError, match="unknown settings"):
+            load_job_config(section)

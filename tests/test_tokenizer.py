@@ -45,8 +45,8 @@ def test_word_counts_and_first_occurrence(as_lines):
 
 
 def test_order_keys_hold_the_largest_ids(spark):
-    rows = [(2**63 - 1, 2**31 - 1, 2**31 - 1), (2**63 - 1, 2**31 - 1, 2**31 - 2), (-(2**63), 0, 0), (-5, 7, 3), (0, 0, 1)]
-    df = spark.createDataFrame(rows, "d long, l int, p int")
+    rows = [(2**63 - 1, 2**35 - 1, 2**27 - 1), (2**63 - 1, 2**35 - 1, 2**27 - 2), (-(2**63), 0, 0), (-5, 2**31 + 7, 3), (0, 0, 1)]
+    df = spark.createDataFrame(rows, "d long, l long, p int")
     key = wd.order_key(F.col("d"), F.col("l"), F.col("p")).alias("key")
     out = df.select(key).orderBy("key").select(*wd.order_parts(F.col("key"))).collect()
     assert [tuple(r) for r in out] == sorted(rows)

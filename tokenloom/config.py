@@ -14,6 +14,7 @@ SPECIAL_TOKENS: Mapping[str, str] = MappingProxyType(
 IGNORE_LABEL = -100
 
 
+# The field names and defaults of the next three classes are fixed values: those of existing job files.
 @dataclass(frozen=True)
 class CleaningConfig:
     """A line is kept when ``min_length < length <= max_length`` (the lower bound is exclusive)."""
@@ -64,8 +65,17 @@ class JobConfig:
     val_path: str | None = None
 
 
-def _only_known(cls, values: Mapping | None) -> dict:
+# Settings of existing job files that are about one machine's workers and have no meaning here.
+IGNORED_LOADER_KEYS = frozenset({"prefetch_factor", "pin_memory", "persistent_workers", "shuffle"})
+JOB_WORKERS = 4
+
+
+def _settings(cls, section: str, values: Mapping | None, ignored: frozenset[str] = frozenset()) -> dict:
+    """The given settings; a name that the section does not have is an error, not a silent default."""
     names = {f.name for f in fields(cls)}
+    unknown = sorted(set(values or {}) - names - ignored)
+    if unknown:
+        raise ValueError(f"unknown settings in {section}: {', '.join(unknown)}")
     return {k: v for k, v in (values or {}).items() if k in names}
 
 
@@ -73,7 +83,8 @@ def load_job_config(source: str | Mapping) -> JobConfig:
     """Read the ``data`` and ``tokenizer`` sections of a YAML file (or an equal mapping).
 
     The vocabulary size may sit under ``tokenizer`` or, as in existing job files, under ``model``.
-    Sections about model training are ignored.
+    Sections about model training are ignored, unknown settings in the others are an error. A job that names no number of
+    workers has four.
     """
     if isinstance(source, Mapping):
         raw = source
@@ -87,9 +98,9 @@ def load_job_config(source: str | Mapping) -> JobConfig:
     if "vocab_size" in (raw.get("model") or {}):
         tokenizer.setdefault("vocab_size", raw["model"]["vocab_size"])
     return JobConfig(
-        cleaning=CleaningConfig(**_only_known(CleaningConfig, data.get("cleaning"))),
-        tokenizer=TokenizerConfig(**_only_known(TokenizerConfig, tokenizer)),
-        loader=LoaderConfig(**_only_known(LoaderConfig, data.get("dataloader"))),
+        cleaning=CleaningConfig(**_settings(CleaningConfig, "data.cleaning", data.get("cleaning"))),
+        tokenizer=TokenizerConfig(**_settings(TokenizerConfig, "tokenizer", tokenizer, frozenset({"type", "name"}))),
+        loader=LoaderConfig(**{"num_workers": JOB_WORKERS} | _settings(LoaderConfig, "data.dataloader", data.get("dataloader"), IGNORED_LOADER_KEYS)),
         train_path=data.get("train_path"),
         val_path=data.get("val_path"),
     )

@@ -16,7 +16,7 @@ from tokenloom.config import CleaningConfig
 
 # The code points Python's `re` and `str.strip` treat as white space, and the characters kept.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-KEPT_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789.,!?;:-"
+KEPT_CHARS = r"A-Za-z0-9.,!?;:\-"
 
 
 def _all_but(pattern: str) -> str:
@@ -30,8 +30,8 @@ def _all_but(pattern: str) -> str:
     return "".join(rf"\x{{{a + 1:x}}}-\x{{{b - 1:x}}}" for a, b in edges if b - a > 1)
 
 
-_UNWANTED = _all_but(re.escape(KEPT_CHARS))
-_SPECIAL = _all_but(re.escape(KEPT_CHARS) + WHITESPACE)
+_UNWANTED = _all_but(KEPT_CHARS)
+_SPECIAL = _all_but(KEPT_CHARS + WHITESPACE)
 
 
 @F.arrow_udf(T.StringType())

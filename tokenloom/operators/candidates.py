@@ -99,8 +99,24 @@ def repeated_ngrams(
 
 
 def token_repetition(encoded: DataFrame, keys: Sequence[str], ids_col: str = "input_ids") -> DataFrame:
-    """``keys, token_id, n``: how often each token occurs in a sequence."""
-    return encoded.select(*keys, F.explode(ids_col).alias("token_id")).groupBy(*keys, "token_id").agg(F.count("*").alias("n"))
+    """``keys, token_id, n``: how often each token occurs in a sequence (one row of ids).
+
+    Equal tokens of a row are neighbours once the row is sorted; the lengths of their runs need no shuffle.
+    """
+    long_enough = encoded.select(*keys, ids_col).filter(F.size(ids_col) > 0)
+    ordered = with_computed(long_enough, "ordered", F.sort_array(ids_col))
+    every = F.sequence(F.lit(0), F.size("ordered") - 1)
+    opens = F.filter(every, lambda i: (i == 0) | (F.get("ordered", i) != F.get("ordered", i - 1)))
+    runs = with_computed(ordered, "opens", opens)
+    places = F.sequence(F.lit(0), F.size("opens") - 1)
+    counted = F.transform(
+        places,
+        lambda k: F.struct(
+            F.get("ordered", F.get("opens", k)).alias("token_id"),
+            (F.coalesce(F.get("opens", k + 1), F.size("ordered")) - F.get("opens", k)).cast("bigint").alias("n"),
+        ),
+    )
+    return runs.select(*keys, F.inline(counted))
 
 
 def repetition_share(encoded: DataFrame, keys: Sequence[str], ids_col: str = "input_ids") -> DataFrame:

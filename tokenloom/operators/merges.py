@@ -160,13 +160,11 @@ def independent_prefix(ranked: Sequence[_Ranked], known: Iterable[str]) -> list[
     return head
 
 
-def train_from_words(
-    words: DataFrame, cfg: TokenizerConfig = TokenizerConfig(), max_merges: int | None = None
-) -> Tokenizer:
+def train_from_words(words: DataFrame, cfg: TokenizerConfig = TokenizerConfig()) -> Tokenizer:
     """Learn merges until the vocabulary holds ``vocab_size`` tokens or no pair is left.
 
     ``words`` is ``word, freq, first``, as :func:`word_filter` gives it. The driver sees the alphabet and at
-    most 64 candidate pairs a round; words and pairs stay distributed. Each round takes every merge
+    most 128 candidate pairs a round; words and pairs stay distributed. Each round takes every merge
     that is certain from one count (:func:`independent_prefix`), so rounds are far fewer than merges.
     """
     spark = words.sparkSession
@@ -190,7 +188,7 @@ def train_from_words(
     generation = 0
     pending: list[tuple[str, str]] = []
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
-    while size < cfg.vocab_size and (max_merges is None or len(merges) < max_merges):
+    while size < cfg.vocab_size:
         if len(pending) >= _PENDING_LIMIT:
             merged_words = with_computed(table, "symbols", merge_symbols(F.col("symbols"), pending))
             done = merged_words.filter(F.contains("symbols", F.lit(_JOINT)))
@@ -201,7 +199,7 @@ def train_from_words(
         if not ranked:
             break
         for pair in independent_prefix(ranked, known):
-            if size >= cfg.vocab_size or (max_merges is not None and len(merges) >= max_merges):
+            if size >= cfg.vocab_size:
                 break
             merged = pair.left + pair.right
             merges.append(Merge(len(merges), pair.left, pair.right, merged, pair.freq))
@@ -217,7 +215,6 @@ def train_tokenizer(
     lines: DataFrame,
     cfg: TokenizerConfig = TokenizerConfig(),
     text_col: str = "text",
-    max_merges: int | None = None,
 ) -> Tokenizer:
     """Train on ``doc_id, line_no, text``. Texts are taken as they are: normalization belongs to encoding."""
-    return train_from_words(word_filter(word_counts(lines, text_col), cfg), cfg, max_merges)
+    return train_from_words(word_filter(word_counts(lines, text_col), cfg), cfg)

@@ -11,10 +11,6 @@ from tokenloom.config import IGNORE_LABEL
 
 PAIR = ("prev_id", "next_id")
 
-# Copies of the score table that a shuffled lookup spreads a hot pair over, and the largest broadcast.
-_SALTS = 16
-_BROADCAST_ROWS = 2_000_000
-
 
 def next_token_pairs(
     samples: DataFrame, keep: Sequence[str], ids_col: str = "input_ids", labels_col: str | None = None
@@ -49,30 +45,17 @@ def unseen_table(table: DataFrame, vocab_size: int) -> DataFrame:
     return table.groupBy("prev_id").agg((-F.log(F.sum("n") + vocab_size)).alias("unseen_log_prob"))
 
 
-def _looked_up(counted: DataFrame, table: DataFrame, table_rows: int | None) -> DataFrame:
-    """Left-join the scores. A table of known small size is broadcast, any other is joined salted."""
-    scores = table.select(*PAIR, "log_prob")
-    if table_rows is not None and table_rows <= _BROADCAST_ROWS:
-        return counted.join(F.broadcast(scores), list(PAIR), "left")
-    group = [c for c in counted.columns if c not in (*PAIR, "n")]
-    if not group:
-        return counted.join(scores, list(PAIR), "left")
-    salted = scores.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    salt = F.pmod(F.xxhash64(*group), F.lit(_SALTS)).cast("int")
-    return counted.withColumn("_salt", salt).join(salted, [*PAIR, "_salt"], "left").drop("_salt")
-
-
-def masked_nll(
-    pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str] = (), table_rows: int | None = None
-) -> DataFrame:
+def masked_nll(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str] = ()) -> DataFrame:
     """``by, n, nll``: predictions and their mean negative log-likelihood, ignored labels left out.
 
-    Equal pairs of a group are counted before the lookup, so it joins one row per distinct pair and group.
+    Equal pairs of a group are counted before the lookup, so it joins one row per distinct pair and group. Whether
+    the score table is broadcast is left to its real size; where it is not, a pair found in nearly all groups makes a
+    skewed partition of the counted side, which adaptive execution splits.
     A pair the table lacks scores as unseen after its first token, or uniformly if that is unknown too.
     The unseen scores have one row per token of the vocabulary, which bounds their broadcast.
     """
     counted = pairs.groupBy(*by, *PAIR).agg(F.count("*").alias("n"))
-    scored = _looked_up(counted, table, table_rows).join(F.broadcast(unseen_table(table, vocab_size)), "prev_id", "left")
+    scored = counted.join(table.select(*PAIR, "log_prob"), list(PAIR), "left").join(F.broadcast(unseen_table(table, vocab_size)), "prev_id", "left")
     nll = -F.coalesce("log_prob", "unseen_log_prob", -F.log(F.lit(float(vocab_size))))
     return scored.groupBy(*by).agg(
         F.sum("n").alias("n"), (F.sum(F.col("n") * nll) / F.sum("n")).alias("nll")

@@ -17,10 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.staging import stage, within
-
-# Totals of pieces that are broadcast; with more groups than this the join shuffles.
-_BASES_IN_MEMORY = 2_000_000
+from tokenloom.staging import stage
 
 
 def group_codes(batch: pa.RecordBatch, groups: Sequence[str]) -> np.ndarray:
@@ -76,14 +73,9 @@ def running_start(
     earlier = Window.partitionBy(*groups).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_piece", *groups, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
     bases = stage(bases, f"{name}-bases")
-    few = within(bases, _BASES_IN_MEMORY)
-    placed = (
-        staged.join(F.broadcast(bases) if few else bases, ["_piece", *groups])
-        .withColumn("start", F.col("_base") + F.col("_before"))
-        .drop("_piece", "_before", "_base")
-    )
-    # A broadcast join leaves the rows as they were written, a shuffled one does not.
-    return placed if few else placed.sortWithinPartitions(*groups, "start")
+    # The written totals have exact sizes, from which the join is planned; one that shuffles would lose the order in a task.
+    placed = staged.join(bases, ["_piece", *groups]).withColumn("start", F.col("_base") + F.col("_before"))
+    return placed.drop("_piece", "_before", "_base").sortWithinPartitions(*groups, "start")
 
 
 def number_rows(

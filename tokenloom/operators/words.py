@@ -12,9 +12,11 @@ WORD_PATTERN = (
     r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
-# An order key is one exact decimal, doc_id * 2^62 + line_no * 2^31 + pos (below 2^125 < 10^38). Being of
-# fixed width it can be a hash-aggregation buffer, which a struct cannot: min(struct) forces a sort.
-_LINE_BITS = 2**31
+# An order key is one exact decimal, doc_id * 2^62 + line_no * 2^27 + pos (below 2^125 < 10^38): room for 2^35 lines of
+# a file and 2^27 words of a line. Being of fixed width it can be a hash-aggregation buffer, which a struct cannot:
+# min(struct) forces a sort.
+_POS_BITS = 27
+_LINE_BITS = 2**_POS_BITS
 _DOC_BITS = 2**62
 
 
@@ -39,7 +41,7 @@ def order_parts(key: Column) -> list[Column]:
     high = F.call_function("div", key - low, _wide(F.lit(_DOC_BITS)))
     return [
         high.alias("doc_id"),
-        F.shiftright(low, 31).cast("int").alias("line_no"),
+        F.shiftright(low, _POS_BITS).alias("line_no"),
         low.bitwiseAND(F.lit(_LINE_BITS - 1)).cast("int").alias("pos"),
     ]
 

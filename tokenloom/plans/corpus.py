@@ -33,7 +33,6 @@ def prepare_corpus(
     cfg: JobConfig,
     artifact_path: str | None = None,
     tokenizer: Tokenizer | None = None,
-    max_merges: int | None = None,
 ) -> PreparedCorpus:
     """``lines`` is ``split, doc_id, line_no, text`` with splits ``train`` and ``val``.
 
@@ -53,7 +52,7 @@ def prepare_corpus(
     if tokenizer is None:
 
         def fit() -> Tokenizer:
-            return train_tokenizer(train, cfg.tokenizer, max_merges=max_merges)
+            return train_tokenizer(train, cfg.tokenizer)
 
         tokenizer = reuse_tokenizer(spark, artifact_path, fit) if artifact_path else fit()
     samples = train_val_blocks(

@@ -5,19 +5,14 @@ Every line carries ``(doc_id, line_no)``: Spark tables have no row order, so the
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import strip_text, with_computed
-from tokenloom.staging import broadcast_within, stage
+from tokenloom.staging import stage
 
 ORDER = ("doc_id", "line_no")
 
-# File blocks (128 MB by default) whose line offsets are broadcast; more are joined by shuffling.
-_BLOCKS_IN_MEMORY = 2_000_000
-
 
 def split_lines(text: Column) -> Column:
     """Lines of a text as reading it as a file would give them: any newline style, no empty last line."""
@@ -56,7 +51,8 @@ def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     Tasks see whole file blocks in order, so a line's number is its place within its block plus the
     lines of the file's earlier blocks. The place comes from one read that is staged, since ids given
     by position in a task must not be recomputed; only one row per block is summed over. ``doc_id``
-    is a hash of the path.
+    is the rank of the file by name, from 0, so that the order of the lines does not depend on where the
+    folder lies.
     """
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -69,11 +65,13 @@ def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = F.sum("n").over(before)
     blocks = blocks.withColumn("shift", F.coalesce(earlier, F.lit(0)) - F.col("first_seq")).drop("n", "first_seq")
-    blocks = broadcast_within(stage(blocks, "text-blocks"), _BLOCKS_IN_MEMORY)
+    # One row per file block, so one task orders the files.
+    blocks = blocks.withColumn("doc_id", F.dense_rank().over(Window.orderBy("file")).cast("bigint") - 1)
+    blocks = stage(blocks, "text-blocks")
     return staged.join(blocks, ["file", "block"]).select(
         "file",
-        F.xxhash64("file").alias("doc_id"),
-        (F.col("seq") + F.col("shift")).cast("int").alias("line_no"),
+        "doc_id",
+        (F.col("seq") + F.col("shift")).alias("line_no"),
         "text",
     )
 
@@ -124,8 +122,7 @@ def split_stats(
 def preview_sample(lines: DataFrame, splits: list[str], n: int = 5, split_col: str = "split") -> DataFrame:
     """The first ``n`` lines of each named split in corpus order.
 
-    One top-n per split keeps ``n`` rows per task, where a ranking window would sort a whole split
-    in a single task.
+    One scan: the limit on the rank is applied in every task before the shuffle and once more after it.
     """
-    tops = [lines.filter(F.col(split_col) == s).orderBy(*ORDER).limit(n) for s in splits]
-    return reduce(DataFrame.unionByName, tops)
+    rank = F.row_number().over(Window.partitionBy(split_col).orderBy(*ORDER))
+    return lines.filter(F.col(split_col).isin(splits)).withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")

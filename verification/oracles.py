@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-MERGES = 8
+TRAINING_SIZE, SIZE = 256, 128  # tokens in the vocabularies
+SPECIALS = 4
 SHARDS = 2
 BLOCK = 128
 LINE = 64
@@ -13,7 +14,8 @@ SEED = 7
 _WS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
-_MERGE_LIST = range(MERGES)
+# Every merge adds a token at most, and there is a character at least.
+_MERGE_LIST = range(TRAINING_SIZE - SPECIALS)
 
 
 def _unescape(x: str) -> str:
@@ -86,12 +88,6 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
                   chr(1) || array_to_string(string_split(word, ''), chr(2) || chr(1)) || chr(2) AS s
            FROM wc WHERE freq >= 2 AND length(word) <= 100""",
     ),
-    "merges": (
-        tuple(f"b{k}" for k in _MERGE_LIST),
-        " UNION ALL ".join(
-            f'SELECT {k} AS rank, "left", "right", "left" || "right" AS merged, freq AS pair_freq FROM b{k}' for k in _MERGE_LIST
-        ),
-    ),
     "chars": (
         ("w0",),
         "SELECT c AS char, row_number() OVER (ORDER BY c) - 1 AS idx FROM (SELECT DISTINCT unnest(string_split(word, '')) AS c FROM w0)",
@@ -142,12 +138,13 @@ STEPS: dict[str, tuple[tuple[str, ...], str]] = {
               WHEN len(ids) + 1 = {LINE} THEN [2] || ids
               ELSE ([2] || ids)[1:{LINE - 1}] || [3] END AS ids FROM enc""",
     ),
+    "whole": (("framed",), f"SELECT doc_id, line_no, line_no % {SHARDS} AS shard, ids FROM framed"),
     "sample": (("framed",), f"SELECT doc_id, line_no, line_no % {SHARDS} AS shard, ids[1:{LINE}] AS ids FROM framed"),
     "line_batch": (
-        ("sample",),
+        ("whole",),
         f"""SELECT shard, n // {BATCH} AS batch_id, n % {BATCH} AS row_in_batch, ids,
                    max(len(ids)) OVER (PARTITION BY shard, n // {BATCH}) AS width
-            FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id, line_no) - 1 AS n FROM sample)""",
+            FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY doc_id, line_no) - 1 AS n FROM whole)""",
     ),
     "counts": (
         ("train_val_pairs",),
@@ -213,7 +210,7 @@ def _packed(name: str, groups: str, source: str, where: str = "true") -> None:
 
 _packed("pack", "shard", "")
 _packed("lang", "lang, shard", "lang,")
-_packed("split", "split, shard", f"{_split_of()} AS split,", "split <> 'test'")
+_packed("split", "split, shard", f"replace({_split_of()}, 'test', 'train') AS split,")
 
 _POSITION = f"""(block // {BUFFER}) * {BUFFER} + row_number() OVER (
     PARTITION BY {{groups}} block // {BUFFER} ORDER BY md5('{SEED}:' || shard || ':' || block), block) - 1"""
@@ -247,9 +244,25 @@ def _u(copy: str = "") -> str:
     return f"((CAST('0x' || substr(md5({key}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
 
 
-def sql(steps: str, final: str, words: str = "allwords") -> str:
+def _merges(size: int) -> tuple[tuple[str, ...], str]:
+    """Merges in order until the vocabulary has ``size`` tokens; a merge into a known token adds none."""
+    steps = range(size - SPECIALS)
+    listed = " UNION ALL ".join(
+        f'SELECT {k} AS rank, "left", "right", "left" || "right" AS merged, freq AS pair_freq FROM b{k}' for k in steps
+    )
+    return (
+        ("chars", *(f"b{k}" for k in steps)),
+        f"""SELECT rank, "left", "right", merged, pair_freq FROM (
+              SELECT *, coalesce(sum(CAST(first AS INTEGER)) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS added
+              FROM (SELECT *, row_number() OVER (PARTITION BY merged ORDER BY rank) = 1 AS first FROM ({listed})))
+            WHERE {SPECIALS} + (SELECT count(*) FROM chars) + added < {size}""",
+    )
+
+
+def sql(steps: str, final: str, words: str = "allwords", size: int = SIZE) -> str:
     """``final`` behind every step it needs, each step once and after those it reads."""
     ordered: list[str] = []
+    STEPS["merges"] = _merges(size)
 
     def need(step: str) -> None:
         if step in ordered:
@@ -328,7 +341,7 @@ ORACLES: dict[str, str] = {
         """SELECT doc_id, line_no, CAST(length(text) AS INTEGER) AS n_chars FROM lines
            WHERE length(text) > 20 AND length(text) <= 100000""",
     ),
-    "null_guard": f"""SELECT * FROM (SELECT doc_id, {_clean('text')} AS clean FROM documents WHERE lang = 'en')
+    "null_guard": f"""SELECT * FROM (SELECT doc_id, {_clean('text')} AS clean FROM documents)
         WHERE length(clean) > 20 AND length(clean) <= 100000""",
     "clean_documents": sql("cl", "SELECT doc_id, line_no, clean FROM cl"),
     "clean_pages": sql(
@@ -363,8 +376,12 @@ ORACLES: dict[str, str] = {
     "apply_merge": sql(
         "w1", "SELECT word, replace(s[2:length(s) - 1], chr(2) || chr(1), '|') AS symbols FROM w1"
     ),
-    "bpe_merges": sql("merges", "SELECT CAST(rank AS INTEGER) AS rank, \"left\", \"right\", merged, pair_freq FROM merges"),
-    "vocab_table": sql("vocab", "SELECT token, CAST(id AS INTEGER) AS id, kind FROM vocab"),
+    "bpe_merges": sql(
+        "merges",
+        "SELECT CAST(rank AS INTEGER) AS rank, \"left\", \"right\", merged, pair_freq FROM merges",
+        size=TRAINING_SIZE,
+    ),
+    "vocab_table": sql("vocab", "SELECT token, CAST(id AS INTEGER) AS id, kind FROM vocab", size=TRAINING_SIZE),
     "encode_words": sql("done", "SELECT word, array_to_string(st, '|') AS tokens FROM done"),
     "encode_documents": sql("enc", f"SELECT doc_id, line_no, {_text('ids')} AS input_ids FROM enc"),
     "token_to_id": sql(
@@ -373,14 +390,9 @@ ORACLES: dict[str, str] = {
            FROM (SELECT DISTINCT token FROM pieces) LEFT JOIN names USING (token)""",
     ),
     "id_to_token": sql(
-        "names",
-        """SELECT CAST(doc_id AS INTEGER) AS id, coalesce(token, '[UNK]') AS token
-           FROM documents LEFT JOIN names ON names.id = doc_id""",
-    ),
-    "special_token_ids": sql(
-        "vocab",
-        """SELECT CAST(a.id AS INTEGER) AS id, a.token AS alias, s.token FROM vocab a JOIN vocab s ON a.id = s.id
-           WHERE a.kind = 'alias' AND s.kind = 'special'""",
+        "coded names",
+        """SELECT CAST(c.id AS INTEGER) AS id, coalesce(token, '[UNK]') AS token
+           FROM (SELECT DISTINCT unnest(ids) AS id FROM coded) c LEFT JOIN names ON names.id = c.id""",
     ),
     "add_special_tokens": sql(
         "enc",
@@ -516,8 +528,9 @@ ORACLES: dict[str, str] = {
     ),
     "strip_prompt": sql(
         "turns names",
-        f"""SELECT d.conv_id, d.turn - 1 AS turn, d.text FROM ({_decoded("turns", "conv_id, turn", "names.id > 3")}) d
-            JOIN turns q ON q.conv_id = d.conv_id AND q.turn = d.turn - 1 WHERE q.role = 'user'""",
+        f"""SELECT q.conv_id, q.turn, coalesce(d.text, '') AS text FROM turns q
+            LEFT JOIN ({_decoded("turns", "conv_id, turn", "names.id > 3")}) d ON q.conv_id = d.conv_id AND q.turn = d.turn - 1
+            WHERE q.role = 'user'""",
         "with_prompts",
     ),
     "batch_predict": sql(

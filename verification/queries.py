@@ -20,7 +20,7 @@ from tokenloom.operators import merges as mg
 from tokenloom.operators import packing as pk
 from tokenloom.operators import scoring as sc
 from tokenloom.operators import words as wd
-from tokenloom.operators.vocabulary import Tokenizer, id_to_token, special_token_ids, token_to_id
+from tokenloom.operators.vocabulary import Tokenizer, id_to_token, token_to_id
 from tokenloom.plans.corpus import prepare_corpus
 from tokenloom.sources import lines as ln
 from tokenloom.sources.artifact import load_tokenizer, reuse_tokenizer, save_tokenizer
@@ -32,11 +32,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CLEANING = CleaningConfig(min_length=20)
-TOKENIZER = TokenizerConfig(vocab_size=32_768)
-MERGES = 8
+# Training ends when the vocabulary is full: some 200 merges for what shows the training itself, and fewer for the
+# queries that only use a tokenizer, whose SQL repeats every merge.
+TRAINING = TokenizerConfig(vocab_size=256)
+TOKENIZER = TokenizerConfig(vocab_size=128)
 SHARDS = 2
 BLOCK = 128
 LINE = 64
+# No cleaned line has as many ids.
+WHOLE_LINE = CLEANING.max_length + 2
 LOADER = LoaderConfig(batch_size=8, max_length=BLOCK, num_workers=SHARDS, shuffle_buffer_size=50, seed=7)
 
 
@@ -61,6 +65,12 @@ def rounded(name: str) -> Column:
     return F.round(F.col(name), 6).alias(name)
 
 
+def shown_place(key: Column) -> list[Column]:
+    """A place in the given documents, whose line numbers are ints."""
+    doc_id, line_no, pos = wd.order_parts(key)
+    return [doc_id, line_no.cast("int").alias("line_no"), pos]
+
+
 def source_split() -> Column:
     """The given tables name no splits: every tenth document validates, the one after it tests."""
     last = F.pmod("doc_id", F.lit(10))
@@ -92,14 +102,14 @@ def kept_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wd.word_filter(wd.word_counts(clean(spark, sf_dir), "clean"), TOKENIZER)
 
 
-_fitted: dict[tuple[str, str], Tokenizer] = {}
+_fitted: dict[tuple[str, str, int], Tokenizer] = {}
 
 
-def fitted(spark: SparkSession, sf_dir: str) -> Tokenizer:
-    """The tokenizer of this folder's documents, trained once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def fitted(spark: SparkSession, sf_dir: str, cfg: TokenizerConfig = TOKENIZER) -> Tokenizer:
+    """The tokenizer of this folder's documents, trained once per session and size."""
+    key = (spark.sparkContext.applicationId, sf_dir, cfg.vocab_size)
     if key not in _fitted:
-        _fitted[key] = mg.train_from_words(kept_words(spark, sf_dir), TOKENIZER, MERGES)
+        _fitted[key] = mg.train_from_words(kept_words(spark, sf_dir), cfg)
     return _fitted[key]
 
 
@@ -155,14 +165,14 @@ def preview_sample(spark, sf_dir):
 @query
 def tokenizer_artifact(spark, sf_dir):
     path = new_path(spark, "tokenizer")
-    save_tokenizer(spark, fitted(spark, sf_dir), path)
+    save_tokenizer(spark, fitted(spark, sf_dir, TRAINING), path)
     return load_tokenizer(spark, path).merge_table(spark)
 
 
 @query
 def reuse_tokenizer_(spark, sf_dir):
     path = new_path(spark, "tokenizer")
-    reuse_tokenizer(spark, path, lambda: fitted(spark, sf_dir))
+    reuse_tokenizer(spark, path, lambda: fitted(spark, sf_dir, TRAINING))
     return reuse_tokenizer(spark, path).vocab_table(spark)
 
 
@@ -209,9 +219,10 @@ def length_filter(spark, sf_dir):
 
 @query
 def null_guard(spark, sf_dir):
-    """Only English documents have a text here; the others are null and are rejected."""
-    docs = table(spark, sf_dir, "documents").withColumn("text", F.when(F.col("lang") == "en", F.col("text")))
-    out = cl.with_clean_text(docs.select("doc_id", "text"), CLEANING)
+    """Every document with its text, and once more without one, which is rejected."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    none = docs.select((-1 - F.col("doc_id")).alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    out = cl.with_clean_text(docs.unionByName(none), CLEANING)
     return out.filter(F.col("clean").isNotNull()).select("doc_id", "clean")
 
 
@@ -265,7 +276,7 @@ def pretokenize(spark, sf_dir):
 
 @query
 def word_counts(spark, sf_dir):
-    return wd.word_counts(clean(spark, sf_dir), "clean").select("word", "freq", *wd.order_parts(F.col("first")))
+    return wd.word_counts(clean(spark, sf_dir), "clean").select("word", "freq", *shown_place(F.col("first")))
 
 
 @query
@@ -279,7 +290,7 @@ def alphabet(spark, sf_dir):
 
 
 def _placed(pairs: DataFrame) -> DataFrame:
-    return pairs.select("left", "right", "freq", *wd.order_parts(F.col("first")), "i")
+    return pairs.select("left", "right", "freq", *shown_place(F.col("first")), "i")
 
 
 @query
@@ -302,12 +313,12 @@ def apply_merge(spark, sf_dir):
 
 @query
 def bpe_merges(spark, sf_dir):
-    return mg.train_from_words(kept_words(spark, sf_dir), TOKENIZER, MERGES).merge_table(spark)
+    return fitted(spark, sf_dir, TRAINING).merge_table(spark)
 
 
 @query
 def vocab_table(spark, sf_dir):
-    return fitted(spark, sf_dir).vocab_table(spark)
+    return fitted(spark, sf_dir, TRAINING).vocab_table(spark)
 
 
 # Encoding and decoding
@@ -336,15 +347,10 @@ def token_to_id_(spark, sf_dir):
 
 @query
 def id_to_token_(spark, sf_dir):
-    ids = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("id"))
+    ids = encoded(spark, sf_dir).select(F.explode("input_ids").alias("id")).distinct()
     return id_to_token(ids, fitted(spark, sf_dir))
 
 
-@query
-def special_token_ids_(spark, sf_dir):
-    return special_token_ids(fitted(spark, sf_dir).vocab_table(spark))
-
-
 def _shown_rows(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select("doc_id", "line_no", *[shown(c).alias(c) for c in columns])
 
@@ -435,7 +441,8 @@ def pack_keep_last(spark, sf_dir):
 
 
 def _train_val(spark, sf_dir) -> DataFrame:
-    train, val = (lines(spark, sf_dir).filter(source_split() == s) for s in ("train", "validation"))
+    held = source_split() == "validation"
+    train, val = lines(spark, sf_dir).filter(~held), lines(spark, sf_dir).filter(held)
     return bt.train_val_blocks(train, val, fitted(spark, sf_dir), LOADER, ascii_only=True, prepare=cleaned_text)
 
 
@@ -456,7 +463,7 @@ def batch_blocks(spark, sf_dir):
 
 def _line_batches(spark, sf_dir) -> DataFrame:
     """Batches of single lines: unlike packed blocks their samples differ in length."""
-    cfg = LoaderConfig(batch_size=8, max_length=LINE, num_workers=SHARDS, pack_sequences=False, shuffle_buffer_size=0)
+    cfg = LoaderConfig(batch_size=8, max_length=WHOLE_LINE, num_workers=SHARDS, pack_sequences=False, shuffle_buffer_size=0)
     tok = fitted(spark, sf_dir)
     samples = bt.split_samples(lines(spark, sf_dir), tok, cfg, ascii_only=True, prepare=cleaned_text)
     return bt.loader_batches(bt.val_samples(samples), cfg, tok.pad_id, ["shard"])
@@ -522,7 +529,7 @@ def bigram_table(spark, sf_dir):
 
 def _losses(spark, sf_dir) -> DataFrame:
     pairs, scores, size = _scorer(spark, sf_dir)
-    return sc.masked_nll(pairs, scores, size, ["split", "shard", "batch_id"], scores.count())
+    return sc.masked_nll(pairs, scores, size, ["split", "shard", "batch_id"])
 
 
 @query
@@ -625,16 +632,17 @@ def prepare_prompts(spark, sf_dir):
 
 @query
 def strip_prompt(spark, sf_dir):
-    """The turn that answers a prompt stands for the generated text behind it."""
+    """The turn that answers a prompt stands for the generated text behind it; without one the text is empty."""
     tok = fitted(spark, sf_dir)
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lower("text").alias("text"))
     answers = en.encode_documents(turns, tok).select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("input_ids").alias("answer")
     )
-    outputs = _prompts(spark, sf_dir).join(answers, ["conv_id", "turn"]).select(
+    none = F.array().cast("array<int>")
+    outputs = _prompts(spark, sf_dir).join(answers, ["conv_id", "turn"], "left").select(
         "conv_id",
         "turn",
-        F.concat("input_ids", "answer", F.array(F.lit(tok.eos_id))).alias("output_ids"),
+        F.concat("input_ids", F.coalesce("answer", none), F.array(F.lit(tok.eos_id))).alias("output_ids"),
         F.size("input_ids").alias("prompt_length"),
     )
     return inf.strip_prompt(outputs, tok).select("conv_id", "turn", "text")
@@ -691,8 +699,8 @@ QUERIES = {name.rstrip("_"): fn for name, fn in QUERIES.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job over the documents: clean, learn 30 merges, encode, pack, shuffle, batch."""
+    """The whole job over the documents: clean, learn a vocabulary, encode, pack, shuffle, batch."""
     named = F.when(source_split() == "validation", "val").otherwise("train")
     rows = lines(spark, sf_dir).withColumn("split", named)
     cfg = JobConfig(CLEANING, TOKENIZER, LOADER)
-    return prepare_corpus(rows, cfg, max_merges=30).batches
+    return prepare_corpus(rows, cfg).batches
