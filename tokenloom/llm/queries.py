@@ -89,6 +89,39 @@ def op6_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _shuffled_sql() -> str:
+    """Row numbers, the Feistel rounds on their halves as nested selects, the walk as a recursion, CRC-32 from its rule."""
+
+    def mixed(half: str, key: int) -> str:
+        p, (a, b, c) = sharding.PRIME, sharding.MULTIPLIERS
+        x = f"(({half} + {key}) % {p}) * {a} % {p}"
+        x = f"list_transform([{x}], lambda x: (xor(x, x >> 13) * {b}) % {p})"
+        return f"list_transform({x}, lambda x: (xor(x, x >> 17) * {c}) % {p})[1]"
+
+    def once(source: str) -> str:
+        body = f"SELECT doc_id, a, b, rows, x // b AS l, x % b AS r FROM {source}"
+        for i, key in enumerate(sharding.round_keys(SHARD_SEED)):
+            moved = f"(l + {mixed('r', key)}) % a AS l, r" if i % 2 == 0 else f"l, (r + {mixed('l', key)}) % b AS r"
+            body = f"SELECT doc_id, a, b, rows, {moved} FROM ({body})"
+        return f"SELECT doc_id, a, b, rows, l * b + r AS x FROM ({body})"
+
+    return f"""WITH RECURSIVE
+    codes AS (SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    c AS (SELECT doc_id, n + 16 AS size, xor(list_reduce([4294967295::BIGINT] || list_transform(range(n), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+        lambda acc, x: xor(acc >> 8, t[(xor(acc, x) & 255) + 1])), 4294967295) AS text_crc32 FROM d, codes),
+    k AS (SELECT *, row_number() OVER (ORDER BY doc_id, size, text_crc32) - 1 AS x, count(*) OVER () AS rows FROM c),
+    dims AS (SELECT doc_id, x, rows, floor(sqrt(rows - 1))::BIGINT + 1 AS a FROM k),
+    start AS (SELECT doc_id, x, rows, a, CASE WHEN a * (rows // a) = rows THEN rows // a ELSE rows // a + 1 END AS b FROM dims),
+    walk AS ({once('start')} UNION ALL {once('(SELECT * FROM walk WHERE x >= rows)')})
+    SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (x % {SHARDS})::INTEGER AS shard, x // {SHARDS} AS slot, NULL::INTEGER AS grown_shard
+    FROM walk JOIN c USING (doc_id) WHERE x < rows"""
+
+
+ORACLES["op6_feistel_sharding"] = _shuffled_sql()
+
+
 def tokenizer_file(name: str) -> str:
     """The place of a public vocabulary file, on this machine as on the executors."""
     import public_tokenizers
