@@ -96,8 +96,8 @@ def test_prompts_prediction_and_stripping(spark):
         return predict
 
     scores = inf.batch_predict(ready.coalesce(1), make, ("k",), tok.pad_id, batch_size=2).collect()
-    assert {(r.k, r.token_id): r.logit for r in scores} == {
-        (k, t): len(rows[k].input_ids) * 100.0 + t for k in rows for t in range(5)
+    assert {r.k: (r.input_ids, r.logits) for r in scores} == {
+        k: (rows[k].input_ids, [len(rows[k].input_ids) * 100.0 + t for t in range(5)]) for k in rows
     }
     low = tok.ids["low"]
     outputs = spark.createDataFrame([([2, low, 3, low, low, 3], 3), ([2], 4)], "output_ids array<int>, prompt_length int")
@@ -146,6 +146,9 @@ def test_no_stream_output_yet(spark, tmp_path):
 def test_queries_and_sql_go_together(spark):
     import __spark_entry__ as entry
 
+    from verification.oracles import ORACLES
+    from verification.queries import QUERIES
+
     queries, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) == set(queries)
+    assert set(ORACLES) == set(QUERIES) and set(sql) <= set(queries) and set(QUERIES) <= set(queries)
     assert entry.entry(spark).limit(1).count() == 1

@@ -70,6 +70,28 @@ def test_spread_only_widens_narrow_tables(spark):
     assert spread(spark.range(100, numPartitions=11), "id").rdd.getNumPartitions() == 11
 
 
+def test_text_files_are_ordered_by_name_wherever_they_lie(spark, tmp_path):
+    seen = []
+    for folder in ("here", "there/deeper"):
+        (tmp_path / folder).mkdir(parents=True)
+        for name in ("b.txt", "a.txt", "c.txt"):
+            (tmp_path / folder / name).write_text(f"{name} one\ntwo\n")
+        rows = ln.read_text_lines(spark, f"{tmp_path}/{folder}").orderBy(*ln.ORDER).collect()
+        seen.append([(r.doc_id, r.line_no, r.text) for r in rows])
+    assert seen[0] == seen[1] == [(d, i, t) for d, n in enumerate("abc") for i, t in enumerate([f"{n}.txt one", "two"])]
+
+
+def test_scratch_blocks_remove_what_they_stage(spark):
+    import os
+
+    with staging.scratch(spark):
+        kept = staging.stage(spark.range(3), "inside").inputFiles()
+        assert kept
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in kept)
+    outside = staging.stage(spark.range(3), "outside")
+    staging.discard(spark, outside.inputFiles()[0].rsplit("/", 1)[0])
+
+
 def test_scratch_goes_to_the_configured_folder(spark):
     assert staging.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     staged = staging.stage(spark.range(5), "t")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +44,10 @@ def batch_predict(
     pad: int,
     batch_size: int = 64,
 ) -> DataFrame:
-    """``keys, token_id, logit``: next-token scores from a predictor built once per task.
+    """``keys, input_ids, logits``: next-token scores, one array per prompt, from a predictor built once per task.
 
-    Rows are padded on the right to the longest of their batch; the mask tells real positions.
+    Rows are padded on the right to the longest of their batch; the mask tells real positions. ``posexplode`` of the
+    array gives one row per token for the operators in :mod:`candidates`; :func:`next_token_draw` works on the array.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,20 +55,99 @@ def batch_predict(
         for arrow in batches:
             for at in range(0, arrow.num_rows, batch_size):
                 part = arrow.slice(at, batch_size)
-                rows = part.column("input_ids").to_pylist()
-                width = max(map(len, rows))
-                ids = np.array([r + [pad] * (width - len(r)) for r in rows], dtype=np.int64)
-                mask = np.array([[1] * len(r) + [0] * (width - len(r)) for r in rows], dtype=np.int64)
-                logits = np.asarray(predict(ids, mask), dtype=np.float64)
+                lists = part.column("input_ids")
+                offsets = lists.offsets.to_numpy()
+                mask = np.arange(np.diff(offsets).max(initial=0))[None, :] < np.diff(offsets)[:, None]
+                ids = np.full(mask.shape, pad, np.int64)
+                ids[mask] = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+                logits = np.asarray(predict(ids, mask.astype(np.int64)), dtype=np.float64)
                 n, v = logits.shape
-                which = np.repeat(np.arange(n), v)
-                columns = [part.column(k).take(pa.array(which)) for k in keys]
-                tokens = np.tile(np.arange(v, dtype=np.int32), n)
+                rows = pa.ListArray.from_arrays(pa.array(np.arange(0, n * v + 1, v, dtype=np.int32)), pa.array(logits.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(tokens), pa.array(logits.ravel())], names=[*keys, "token_id", "logit"]
+                    [*[part.column(k) for k in keys], lists, rows], names=[*keys, "input_ids", "logits"]
                 )
 
+    ids, scores = T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType())
+    schema = T.StructType([*[prompts.schema[k] for k in keys], T.StructField("input_ids", ids), T.StructField("logits", scores)])
+    return prompts.select(*keys, "input_ids").mapInArrow(run, schema)
+
+
+@dataclass(frozen=True)
+class DrawConfig:
+    """``repetition_penalty`` 1, ``no_repeat_ngram`` 0, ``top_k`` 0 and ``top_p`` 1 switch a step off; temperature 0 is greedy."""
+
+    repetition_penalty: float = 1.0
+    no_repeat_ngram: int = 0
+    temperature: float = 1.0
+    top_k: int = 0
+    top_p: float = 1.0
+    seed: int = 0
+
+
+def banned_tokens(ids: np.ndarray, n: int) -> np.ndarray:
+    """The tokens that would complete an ``n``-gram which the ids hold already."""
+    if n <= 0 or len(ids) < n:
+        return np.zeros(0, np.int64)
+    grams = np.lib.stride_tricks.sliding_window_view(ids, n)
+    return grams[(grams[:, : n - 1] == ids[len(ids) - n + 1 :]).all(axis=1), n - 1]
+
+
+def draw(ids: np.ndarray, logits: np.ndarray, key: str, cfg: DrawConfig) -> tuple[int, float]:
+    """Penalty, ban, temperature, top-k, nucleus and the draw for one row: the token and its final score."""
+    tokens, times = np.unique(ids[(ids >= 0) & (ids < len(logits))], return_counts=True)
+    x = logits.copy()
+    x[tokens] /= cfg.repetition_penalty ** times.astype(np.float64)
+    banned = banned_tokens(ids, cfg.no_repeat_ngram)
+    x[banned[(banned >= 0) & (banned < len(x))]] = -np.inf
+    if cfg.temperature > 0:
+        x = x / cfg.temperature
+    if 0 < cfg.top_k < len(x):
+        x[x < np.partition(x, -cfg.top_k)[-cfg.top_k]] = -np.inf
+    order = np.lexsort((np.arange(len(x)), -x))
+    order = order[np.isfinite(x[order])]
+    if not len(order):  # all are banned: the best raw score stands
+        return int(logits.argmax()), 0.0
+    if cfg.top_p < 1:
+        weights = np.exp(x[order] - x[order[0]])
+        before = np.cumsum(weights) - weights
+        stay = before <= cfg.top_p * weights.sum()
+        stay[0] = True
+        order = order[stay]
+    if cfg.temperature == 0:
+        return int(order[0]), float(x[order[0]])
+    digits = [int(hashlib.md5(f"{cfg.seed}:{key}:{t}".encode()).hexdigest()[:13], 16) for t in order.tolist()]
+    noise = -np.log(-np.log((np.array(digits, np.float64) + 0.5) / 2.0**52))
+    best = order[(x[order] + noise).argmax()]
+    return int(best), float(x[best])
+
+
+def next_token_draw(scores: DataFrame, keys: tuple[str, ...], cfg: DrawConfig = DrawConfig()) -> DataFrame:
+    """``keys, token_id, logit``: one token per row of ``keys, input_ids, logits``, drawn within the row, without a shuffle.
+
+    Scores of tokens in ``input_ids`` are divided by the penalty to the power of their count, tokens that would repeat an
+    n-gram of ``input_ids`` are banned, then temperature, top-k (ties stay), nucleus and the draw follow, whose noise is
+    a hash of seed, keys and token. Where all are banned the best raw score stands. Rows without scores have no token.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, logits = batch.column("input_ids"), batch.column("logits")
+            labels = zip(*[batch.column(k).to_pylist() for k in keys], strict=True)
+            found = []
+            for i, label in enumerate(labels):
+                own = np.asarray(logits[i].values.to_numpy(zero_copy_only=False) if logits[i].is_valid else [], np.float64)
+                held = np.asarray(ids[i].values.to_numpy(zero_copy_only=False) if ids[i].is_valid else [], np.int64)
+                found.append(draw(held, own, ":".join(map(str, label)), cfg) if len(own) else (None, None))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(k) for k in keys],
+                    pa.array([t for t, _ in found], pa.int32()),
+                    pa.array([x for _, x in found], pa.float64()),
+                ],
+                names=[*keys, "token_id", "logit"],
+            )
+
     schema = T.StructType(
-        [prompts.schema[k] for k in keys] + [T.StructField("token_id", T.IntegerType()), T.StructField("logit", T.DoubleType())]
+        [scores.schema[k] for k in keys] + [T.StructField("token_id", T.IntegerType()), T.StructField("logit", T.DoubleType())]
     )
-    return prompts.select(*keys, "input_ids").mapInArrow(run, schema)
+    return scores.select(*keys, "input_ids", "logits").mapInArrow(run, schema)

@@ -19,7 +19,7 @@ from tokenloom.config import TokenizerConfig
 from tokenloom.functions.text import with_computed
 from tokenloom.operators.vocabulary import Merge, Tokenizer
 from tokenloom.operators.words import alphabet, chars_of, word_counts, word_filter
-from tokenloom.staging import new_path, stage
+from tokenloom.staging import new_path, scratch, stage
 
 _OPEN, _CLOSE = "\x01", "\x02"
 _JOINT = _CLOSE + _OPEN
@@ -167,6 +167,12 @@ def train_from_words(words: DataFrame, cfg: TokenizerConfig = TokenizerConfig())
     most 128 candidate pairs a round; words and pairs stay distributed. Each round takes every merge
     that is certain from one count (:func:`independent_prefix`), so rounds are far fewer than merges.
     """
+    with scratch(words.sparkSession):
+        chars, merges = _learned(words, cfg)
+    return Tokenizer.build(cfg, chars, merges)
+
+
+def _learned(words: DataFrame, cfg: TokenizerConfig) -> tuple[list[str], list[Merge]]:
     spark = words.sparkSession
     words = stage(words, "words")
     # A sorted position replaces the wide order key: one long per word, leaving room for the place in it.
@@ -188,27 +194,29 @@ def train_from_words(words: DataFrame, cfg: TokenizerConfig = TokenizerConfig())
     generation = 0
     pending: list[tuple[str, str]] = []
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
-    while size < cfg.vocab_size:
-        if len(pending) >= _PENDING_LIMIT:
-            merged_words = with_computed(table, "symbols", merge_symbols(F.col("symbols"), pending))
-            done = merged_words.filter(F.contains("symbols", F.lit(_JOINT)))
-            fresh = stage(done, "symbols", path=slots[generation % 2]).persist(StorageLevel.MEMORY_AND_DISK)
-            table.unpersist()
-            table, pending, generation = fresh, [], generation + 1
-        ranked = _top_pairs(apply_merge(table, pending), _PAIRS_PER_ROUND)
-        if not ranked:
-            break
-        for pair in independent_prefix(ranked, known):
-            if size >= cfg.vocab_size:
+    try:
+        while size < cfg.vocab_size:
+            if len(pending) >= _PENDING_LIMIT:
+                merged_words = with_computed(table, "symbols", merge_symbols(F.col("symbols"), pending))
+                done = merged_words.filter(F.contains("symbols", F.lit(_JOINT)))
+                fresh = stage(done, "symbols", path=slots[generation % 2]).persist(StorageLevel.MEMORY_AND_DISK)
+                table.unpersist()
+                table, pending, generation = fresh, [], generation + 1
+            ranked = _top_pairs(apply_merge(table, pending), _PAIRS_PER_ROUND)
+            if not ranked:
                 break
-            merged = pair.left + pair.right
-            merges.append(Merge(len(merges), pair.left, pair.right, merged, pair.freq))
-            pending.append((pair.left, pair.right))
-            if merged not in known:
-                known.add(merged)
-                size += 1
-    table.unpersist()
-    return Tokenizer.build(cfg, chars, merges)
+            for pair in independent_prefix(ranked, known):
+                if size >= cfg.vocab_size:
+                    break
+                merged = pair.left + pair.right
+                merges.append(Merge(len(merges), pair.left, pair.right, merged, pair.freq))
+                pending.append((pair.left, pair.right))
+                if merged not in known:
+                    known.add(merged)
+                    size += 1
+    finally:
+        table.unpersist()
+    return chars, merges
 
 
 def train_tokenizer(

@@ -41,13 +41,17 @@ def prepare_corpus(
     turns over the cleaned lines of a split, which are numbered for that; ``line_no`` stays the raw one.
     """
     spark = lines.sparkSession
-    cleaned = clean_lines(lines, cfg.cleaning).select("split", "doc_id", "line_no", F.col("clean").alias("text"))
+
+    def clean(raw: DataFrame) -> DataFrame:
+        return clean_lines(raw, cfg.cleaning).select("split", "doc_id", "line_no", F.col("clean").alias("text"))
+
     number_col = "line_no"
     if cfg.loader.shards > 1:
         number_col = "split_line"
-        cleaned = number_rows(cleaned, ["split"], ORDER, number_col)
+        # The raw lines are put in order: a range sort samples its input, which would clean every line twice.
+        cleaned = number_rows(clean(lines.orderBy("split", *ORDER)), ["split"], ORDER, number_col, in_order=True)
     else:
-        cleaned = stage(cleaned, "cleaned", partition_by=("split",))
+        cleaned = stage(clean(lines), "cleaned", partition_by=("split",))
     train, val = (cleaned.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
     if tokenizer is None:
 

@@ -7,7 +7,10 @@ its paths are removed when it ends, and `discard` removes one as soon as nothing
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +23,27 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
+# Paths made inside the `scratch` blocks that a thread has open, innermost last.
+_blocks = threading.local()
+
+
+def _open() -> list[list[str]]:
+    if not hasattr(_blocks, "paths"):
+        _blocks.paths = []
+    return _blocks.paths
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside the block when it ends, for steps whose result doesn't read it."""
+    _open().append([])
+    try:
+        yield
+    finally:
+        for path in _open().pop():
+            discard(spark, path)
+
+
 def _on_store(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -30,6 +54,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     folder, store = _on_store(spark, path)
     store.deleteOnExit(folder)
+    if _open():
+        _open()[-1].append(path)
     return path
 
 

@@ -14,6 +14,7 @@ from tokenloom.operators.encoding import encode_documents
 from tokenloom.operators.packing import append_eos, pack_ids
 from tokenloom.operators.vocabulary import Tokenizer
 from tokenloom.sources.lines import ORDER
+from tokenloom.staging import discard, scratch
 
 BLOCK_SCHEMA = "shard int, block long, input_ids array<int>, n int"
 
@@ -64,6 +65,16 @@ def stream_pack(encoded: DataFrame, max_length: int, path: str, eos: int | None
         spark = batch.sparkSession
         # The ordering sort samples its input: without this the batch would be cleaned and encoded twice.
         batch.persist()
+        try:
+            with scratch(spark):
+                write_batch(spark, batch, batch_id)
+            # The state before the last one serves a repetition of the last batch; older ones serve nothing.
+            if batch_id >= 2:
+                discard(spark, f"{path}/state/batch={batch_id - 2}")
+        finally:
+            batch.unpersist()
+
+    def write_batch(spark: SparkSession, batch: DataFrame, batch_id: int) -> None:
         before = _state(spark, path, batch_id - 1)
         held = before.select("shard", F.lit(0).alias("late"), *_no_line(), F.col("input_ids"))
         arrived = batch.select(
@@ -86,7 +97,6 @@ def stream_pack(encoded: DataFrame, max_length: int, path: str, eos: int | None
             "shard", "block", F.coalesce("input_ids", empty).alias("input_ids"), F.size(F.coalesce("input_ids", empty)).alias("n")
         )
         after.coalesce(1).write.mode("overwrite").parquet(f"{path}/state/batch={batch_id}")
-        batch.unpersist()
 
     return encoded.writeStream.foreachBatch(pack_batch).option("checkpointLocation", f"{path}/checkpoint")
 

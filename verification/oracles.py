@@ -535,9 +535,29 @@ ORACLES: dict[str, str] = {
     ),
     "batch_predict": sql(
         "turns size",
-        """SELECT conv_id, turn, CAST(v AS INTEGER) AS token_id, round(((31 * last + 7 * n) + 17 * v) % 101 / 10.0, 6) AS logit
+        """SELECT conv_id, turn, string_agg(((31 * last + 7 * n) + 17 * v) % 101, ' ' ORDER BY v) AS logits
            FROM (SELECT conv_id, turn, ids[len(ids)] AS last, len(ids) + 1 AS n, unnest(range(0, (SELECT v FROM size))) AS v
-                 FROM turns WHERE role = 'user')""",
+                 FROM turns WHERE role = 'user') GROUP BY conv_id, turn""",
+        "with_prompts",
+    ),
+    "next_token_draw": sql(
+        "turns size",
+        """, asked AS (SELECT conv_id, turn, [2] || ids AS ids FROM turns WHERE role = 'user'),
+        raw AS (SELECT conv_id, turn, v, ((31 * ids[len(ids)] + 7 * len(ids)) + 17 * v) % 101 / 10.0::DOUBLE AS x, ids
+                FROM (SELECT *, unnest(range(0, (SELECT v FROM size))) AS v FROM asked)),
+        seen AS (SELECT conv_id, turn, id AS v, count(*) AS f FROM (SELECT conv_id, turn, unnest(ids) AS id FROM asked) GROUP BY ALL),
+        grams AS (SELECT conv_id, turn, ids, unnest(range(1, len(ids) - 1)) AS i FROM asked),
+        banned AS (SELECT DISTINCT conv_id, turn, ids[i + 2] AS v FROM grams WHERE ids[i] = ids[len(ids) - 1] AND ids[i + 1] = ids[len(ids)]),
+        warm AS (SELECT conv_id, turn, v, x / pow(1.2, coalesce(f, 0)) / 0.8 AS y FROM raw LEFT JOIN seen USING (conv_id, turn, v)
+                 ANTI JOIN banned USING (conv_id, turn, v)),
+        top AS (SELECT *, exp(y - max(y) OVER (PARTITION BY conv_id, turn)) AS w
+                FROM (SELECT *, rank() OVER (PARTITION BY conv_id, turn ORDER BY y DESC) AS r FROM warm) WHERE r <= 20),
+        nucleus AS (SELECT *, coalesce(sum(w) OVER (PARTITION BY conv_id, turn ORDER BY y DESC, v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier,
+                sum(w) OVER (PARTITION BY conv_id, turn) AS total FROM top),
+        noisy AS (SELECT *, y - ln(-ln((CAST('0x' || substr(md5('7:' || conv_id || ':' || turn || ':' || v), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)) AS z
+                FROM nucleus WHERE earlier <= 0.9 * total)
+        SELECT conv_id, turn, CAST(v AS INTEGER) AS token_id, round(y, 6) AS logit
+        FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY z DESC, v) AS n FROM noisy) WHERE n = 1""",
         "with_prompts",
     ),
 }

@@ -662,12 +662,27 @@ def _make_predictor(size: int):
     return make
 
 
-@query
-def batch_predict(spark, sf_dir):
+def _predicted(spark, sf_dir) -> DataFrame:
     tok = fitted(spark, sf_dir)
     # The prompts' closing EOS is not something to continue from.
     prompts = _prompts(spark, sf_dir).withColumn("input_ids", F.slice("input_ids", 1, F.size("input_ids") - 1))
-    out = inf.batch_predict(prompts, _make_predictor(len(tok)), ("conv_id", "turn"), tok.pad_id)
+    return inf.batch_predict(prompts, _make_predictor(len(tok)), ("conv_id", "turn"), tok.pad_id)
+
+
+@query
+def batch_predict(spark, sf_dir):
+    """The scores of each prompt in tenths, which they are whole numbers of."""
+    tenths = F.transform("logits", lambda x: F.round(x * 10).cast("int"))
+    return _predicted(spark, sf_dir).select("conv_id", "turn", shown(tenths).alias("logits"))
+
+
+DRAW = inf.DrawConfig(repetition_penalty=1.2, no_repeat_ngram=3, temperature=0.8, top_k=20, top_p=0.9, seed=7)
+
+
+@query
+def next_token_draw(spark, sf_dir):
+    """One next token for every user turn, through all steps on its stored scores."""
+    out = inf.next_token_draw(_predicted(spark, sf_dir), ("conv_id", "turn"), DRAW)
     return out.select("conv_id", "turn", "token_id", rounded("logit"))
 
 
