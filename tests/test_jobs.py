@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import plain
@@ -75,6 +76,30 @@ def test_training_on_real_text_equals_the_plain_trainer(spark):
     assert [e.token for e in tok.vocab if e.kind == "char"] == chars
 
 
+@pytest.mark.parametrize("workers", [1, 2])
+def test_every_line_is_cleaned_once(spark, workers):
+    from tokenloom.config import CleaningConfig, JobConfig, LoaderConfig
+    from tokenloom.plans import corpus
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    lines = ln.doc_lines(spark.read.parquet(f"{SF}/documents.parquet")).withColumn("split", F.lit("train")).repartition(4)
+    clean_lines_ = corpus.clean_lines
+    corpus.clean_lines = lambda raw, cfg: clean_lines_(raw.withColumn("text", counted("text")), cfg)
+    try:
+        tok = _tokenizer(spark)
+        done = corpus.prepare_corpus(lines, JobConfig(CleaningConfig(), loader=LoaderConfig(num_workers=workers)), tokenizer=tok)
+        assert done.lines.count() > 1000
+    finally:
+        corpus.clean_lines = clean_lines_
+    assert seen.value == lines.count()
+
+
 def _tokenizer(spark):
     lines = spark.createDataFrame([(0, 0, "low lower lowest new")], "doc_id long, line_no int, text string")
     return mg.train_tokenizer(lines, TokenizerConfig(vocab_size=20, min_frequency=1))

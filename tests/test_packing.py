@@ -79,10 +79,8 @@ def test_running_start_over_hot_and_tiny_groups(spark):
     assert [r.position for r in numbers] == list(range(len(numbers)))
 
 
-def test_packing_with_more_groups_than_are_broadcast(spark, monkeypatch):
-    from tokenloom.operators import sequencing
-
-    monkeypatch.setattr(sequencing, "_BASES_IN_MEMORY", 0)
+def test_packing_without_broadcasts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     rng = random.Random(8)
     rows = [(d, n, rng.randrange(3), [rng.randrange(99) for _ in range(rng.randrange(9))]) for d in range(30) for n in range(9)]
     df = spark.createDataFrame(rows, "doc_id long, line_no int, shard int, input_ids array<int>").repartition(4)
@@ -90,6 +88,7 @@ def test_packing_with_more_groups_than_are_broadcast(spark, monkeypatch):
         (s, b) for s in range(3) for b in plain.pack([r[3] for r in sorted(rows) if r[2] == s], 5, False)
     ]
     assert blocks_of(pk.pack_ids(df, 5), "shard") == expected
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_shards_count_blank_lines(as_lines):
