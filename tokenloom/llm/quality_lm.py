@@ -287,5 +287,5 @@ def keep_fluent(docs: DataFrame, labels: DataFrame, rule: PerplexityRule = Perpl
     good = classified(docs, labels, rule, id_col, text_col, lang_col).filter("kept").select("doc_id", "mark").distinct()
     good = good.select(F.col("doc_id").alias("_good_id"), F.col("mark").alias("_good_mark"))
     marked = docs.withColumn(mark, _mark(docs, text_col, lang_col))
-    same = col(marked, id_col).eqNullSafe(F.col("_good_id")) & (F.col(mark) == F.col("_good_mark"))
+    same = col(marked, id_col).eqNullSafe(good["_good_id"]) & (marked[mark] == good["_good_mark"])
     return marked.join(good, same, "left_semi").select(*kept_names(docs))
