@@ -107,3 +107,18 @@ def test_without_trusted_documents(spark, corpus):
     docs = spark.createDataFrame(rows[:5], "doc_id long, text string, lang string")
     got = classified(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"), RULE).collect()
     assert all(abs(r.perplexity - 256) < 1e-2 and r.kept and r.threshold is None for r in got)
+
+
+def test_default_threshold_decides(spark):
+    rnd = random.Random(4)
+    vocabulary = ["".join(rnd.choice(["the", "an", "re", "ing", "st", "ou"]) for _ in range(rnd.randint(1, 4))) for _ in range(300)]
+    rows = [(i, " ".join(rnd.choice(vocabulary) for _ in range(80)), "en") for i in range(400)]
+    for i in range(1000, 1020):  # every sixteenth word backwards
+        rows.append((i, " ".join(w[::-1] if k % 16 == 0 else w for k, w in enumerate(rnd.choice(vocabulary) for _ in range(80))), "en"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in classified(docs, labels).collect()}
+    held = sorted(got[i].perplexity for i in range(400) if _held_out(np.array([i]), 5)[0])
+    assert len(held) >= 30 and abs(got[0].threshold - held[math.ceil(PerplexityRule().quantile * len(held)) - 1]) < 1e-9
+    assert all(got[i].perplexity < 1.5 * held[-1] and not got[i].kept for i in range(1000, 1020))
+    assert sum(got[i].kept for i in range(400)) > 0.9 * 400

@@ -29,15 +29,16 @@ LEAST_DISCOUNT = 0.01
 
 @dataclass(frozen=True)
 class PerplexityRule:
-    """A document is kept up to ``slack`` times the ``quantile`` of its language's held-out trusted perplexities.
+    """A document is kept up to the ``quantile`` of its language's held-out trusted perplexities, times ``slack``.
 
-    One in ``fold`` trusted documents is held out. A language with fewer than ``least`` of them takes the threshold
+    The default quantile is chosen by labelled documents: those trusted and held out that are kept against those of
+    bad quality or toxic that go. One in ``fold`` trusted documents is held out. A language with fewer than ``least`` of them takes the threshold
     over all languages. Blocks hold about ``block_bytes`` of text.
     """
 
     order: int = 5
-    quantile: float = 0.99
-    slack: float = 1.5
+    quantile: float = 0.975
+    slack: float = 1.0
     fold: int = 5
     least: int = 30
     block_bytes: int = 32 << 20
