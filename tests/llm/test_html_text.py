@@ -36,6 +36,21 @@ def test_pages(name):
     assert got[: len(want)] == want and (name == "comment and cdata" or got == want)
 
 
+P = [f"<p>{p}</p>" for p in PARAS]
+LAYOUTS = {
+    "body inside the article": (f"<ul>{MENU}</ul><article><h1>Head</h1><p>Standfirst</p><div itemprop=articleBody>{''.join(P)}</div></article>", ["Head", "Standfirst", *WANT]),
+    "article inside an article": (f"<ul>{MENU}</ul><article><h1>Head</h1>{P[0]}<article>{''.join(P[1:])}</article></article>", ["Head", *WANT]),
+    "main with two articles": (f"<ul>{MENU}</ul><main><article>{''.join(P[:3])}</article><article>{P[3]}</article></main>", WANT),
+    "two articles without a main": (f"<ul>{MENU}</ul><div><article>{''.join(P[:2])}</article><article>{''.join(P[2:])}</article></div>", WANT),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_articles_in_parts(name):
+    body, want = LAYOUTS[name]
+    assert main_text(page(body)).split("\n\n") == want
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("  \n") == main_text("<html></html>") == ""
     assert main_text("just text") == "just text"

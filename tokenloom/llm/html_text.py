@@ -5,8 +5,8 @@ comments and the like, by element, role or class name) is cut off. For each rema
 density is its characters per tag, scaled down by the share of characters and tags that lie in links. The
 densities of a node's children are summed; the node with the largest sum leads to the article, and the
 least density on its path from the body is the threshold: of every node at or above it, the descendant
-with the largest sum is content as well. The smallest subtree that holds all of this content, or the
-article or main element around the leading node, is the main text.
+with the largest sum is content as well. The smallest subtree that holds all of this content, widened to
+the outermost article or main element around it, is the main text.
 
 Null, empty and unparsable pages give an empty text, tags left open are closed where HTML would close them,
 repeated rows are treated alike, an empty table gives an empty one.
@@ -223,7 +223,7 @@ def measure(nodes: list[Node]) -> None:
 
 
 def main_node(root: Node) -> Node:
-    """The smallest subtree that holds the content."""
+    """The smallest subtree that holds the content, or the outermost article or main element around it."""
     nodes = _walk(root)
     measure(nodes)
     best: dict[int, Node] = {}
@@ -237,8 +237,6 @@ def main_node(root: Node) -> Node:
     path = []
     node = lead
     while node is not None:
-        if node.kind == "in":
-            return node
         path.append(node)
         node = node.parent
     body = next((n for n in reversed(path) if n.name == "body"), path[-1])
@@ -253,7 +251,12 @@ def main_node(root: Node) -> Node:
                     marked.add(id(best[id(child)]))
                     content.append(best[id(child)])
                 todo.append(child)
-    return _common(content, body)
+    found = node = _common(content, body)
+    while node is not None:
+        if node.kind == "in":
+            found = node
+        node = node.parent
+    return found
 
 
 def _common(nodes: list[Node], body: Node) -> Node:
