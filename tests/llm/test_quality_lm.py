@@ -122,3 +122,31 @@ def test_default_threshold_decides(spark):
     assert len(held) >= 30 and abs(got[0].threshold - held[math.ceil(PerplexityRule().quantile * len(held)) - 1]) < 1e-9
     assert all(got[i].perplexity < 1.5 * held[-1] and not got[i].kept for i in range(1000, 1020))
     assert sum(got[i].kept for i in range(400)) > 0.9 * 400
+
+
+def test_small_language_has_its_own_median(spark):
+    rnd = random.Random(6)
+
+    def prose(letters, size, n):
+        words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(3, 6))) for _ in range(size)]
+        return [" ".join(rnd.choice(words) for _ in range(60)) for _ in range(n)]
+
+    large, small = prose("abcdefg", 40, 900), prose("nopqrstu", 90, 60)
+    rows = [(i, t, "en") for i, t in enumerate(large)] + [(1000 + i, t, "es") for i, t in enumerate(small)]
+    labels = [(i, 1, 0) for i in range(900)] + [(1000 + i, 1, 0) for i in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    rule = PerplexityRule(order=3)
+    got = {r.doc_id: r for r in classified(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rule).collect()}
+    held = {lang: sorted(got[i].perplexity for i, _, _ in labels if got[i].lang == lang and _held_out(np.array([i]), rule.fold)[0]) for lang in ("en", "es")}
+    assert len(held["en"]) >= rule.least > len(held["es"]) > 0
+
+    def at(values, q):
+        return sorted(values)[math.ceil(q * len(values)) - 1]
+
+    n, middle = len(held["es"]), {k: at(v, 0.5) for k, v in held.items()}
+    ratio = at([x / middle[k] for k, v in held.items() for x in v], rule.quantile)
+    want = n / rule.least * at(held["es"], rule.quantile) + (1 - n / rule.least) * middle["es"] * ratio
+    assert abs(got[1000].threshold - want) < 1e-9 and abs(got[0].threshold - at(held["en"], rule.quantile)) < 1e-9
+    overall = at(held["en"] + held["es"], rule.quantile)
+    clean = [got[1000 + i] for i in range(25, 60)]
+    assert sum(r.kept for r in clean) > 0.8 * len(clean) > sum(r.perplexity <= overall for r in clean)

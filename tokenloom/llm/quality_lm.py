@@ -32,8 +32,10 @@ class PerplexityRule:
     """A document is kept up to the ``quantile`` of its language's held-out trusted perplexities, times ``slack``.
 
     The default quantile is chosen by labelled documents: those trusted and held out that are kept against those of
-    bad quality or toxic that go. One in ``fold`` trusted documents is held out. A language with fewer than ``least`` of them takes the threshold
-    over all languages. Blocks hold about ``block_bytes`` of text.
+    bad quality or toxic that go. One in ``fold`` trusted documents is held out. A language with fewer than ``least`` of
+    them, ``n``, takes the median of its own times a ratio of quantile to median: its own ratio by ``n / least``, for the
+    rest the one over all languages. A language without any takes the quantile over all. Blocks hold about
+    ``block_bytes`` of text.
     """
 
     order: int = 5
@@ -259,12 +261,19 @@ def classified(
     trusted = staged(trusted_ids(labels), "trusted")
     found = scores(picked, trusted, rule).withColumn("perplexity", F.when(F.col("n_bytes") > 0, F.exp(-F.col("log_prob") / F.col("n_bytes"))))
     held = found.join(held_out(trusted, rule.fold), "doc_id", "left_semi").filter("perplexity IS NOT NULL")
-    at = F.percentile_approx("perplexity", rule.quantile, 100_000)
+    held = staged(held.select("lang", "perplexity"), "held-out")
+    at, middle = (F.percentile_approx("perplexity", q, 100_000) for q in (rule.quantile, 0.5))
     overall = held.agg((at * rule.slack).alias("overall"))
-    per_lang = held.groupBy(F.col("lang").alias("of")).agg((at * rule.slack).alias("own"), F.count("*").alias("n"))
-    per_lang = per_lang.filter(F.col("n") >= rule.least).select("of", "own")
+    per_lang = held.groupBy(F.col("lang").alias("of")).agg(at.alias("own"), middle.alias("middle"), F.count("*").alias("n"))
+    of_lang = F.col("lang").eqNullSafe(F.col("of"))
+    # Few documents give a median well and a tail badly: the tail's ratio to the median is shared. Few rows, one per language.
+    ratios = held.join(F.broadcast(per_lang), of_lang).select((F.col("perplexity") / F.col("middle")).alias("ratio"))
+    ratio = ratios.agg(F.percentile_approx("ratio", rule.quantile, 100_000).alias("ratio"))
+    share = F.least(F.lit(1.0), F.col("n") / rule.least)
+    own = (share * F.col("own") + (1 - share) * F.col("middle") * F.col("ratio")) * rule.slack
+    per_lang = per_lang.join(F.broadcast(ratio)).select("of", own.alias("own"))
     # One row, and one row per language.
-    judged = found.join(per_lang, F.col("lang").eqNullSafe(F.col("of")), "left").join(F.broadcast(overall))
+    judged = found.join(per_lang, of_lang, "left").join(F.broadcast(overall))
     threshold = F.coalesce("own", "overall")
     kept = F.col("perplexity").isNotNull() & (threshold.isNull() | (F.col("perplexity") <= threshold))
     return judged.select("doc_id", "mark", "lang", "n_bytes", "perplexity", threshold.alias("threshold"), kept.alias("kept"))
