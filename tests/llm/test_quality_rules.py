@@ -57,3 +57,10 @@ def test_empty_table_and_own_rules(docs):
     assert quality_rules(docs.limit(0)).collect() == []
     assert keep_good(docs, (Rule("none", "n_words", low=0),)).count() == docs.count()
     assert {r.metric.split(" ")[0] for r in RULES} <= set(COUNTS)
+
+
+def test_language_without_stop_words(spark):
+    polish = " ".join(f"słowo{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80))
+    rows = [(0, polish, "pl"), (1, polish, "en"), (2, polish, None), (3, "spam " * 80, "pl")]
+    got = {r.doc_id: set(r.failed_rules) for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[0] == set() and got[1] == got[2] == {"stop_words"} and "repetition" in got[3] and "stop_words" not in got[3]

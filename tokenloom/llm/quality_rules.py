@@ -1,7 +1,7 @@
 """Quality rules: one table of thresholds, compiled into a Spark projection of built-in functions.
 
 Nulls and texts without a word have all counts 0 and fail; a null or unknown language is measured with the
-stop words of all languages. Repeated rows are judged one by one, an empty table gives an empty one, and
+stop words of all languages, but a language without a list can't fail a rule on them. Repeated rows are judged one by one, an empty table gives an empty one, and
 other columns, whatever their names, are neither read nor changed.
 """
 
@@ -119,14 +119,17 @@ def measured(docs: DataFrame, out: str, text_col: str = "text", lang_col: str =
     return df.select(*kept_names(docs), F.explode(F.array(row)).alias(out))
 
 
-def verdict(counts: str, rules: tuple[Rule, ...] = RULES) -> Column:
-    """Names of the rules that a document fails. A ratio over nothing counts as 0."""
+def verdict(counts: str, rules: tuple[Rule, ...] = RULES, lang: Column | None = None) -> Column:
+    """Names of the rules that a document fails. A ratio over nothing counts as 0. Stop words judge no ``lang`` without a list."""
+    listed = F.lit(True) if lang is None else F.coalesce(lang.isin(list(STOP_WORDS)), F.lit(True))
 
     def failed(rule: Rule) -> Column:
         parts = [F.col(counts)[p.strip()] for p in rule.metric.split("/")]
         value = parts[0].cast("double") if len(parts) == 1 else F.when(parts[1] == 0, F.lit(0.0)).otherwise(parts[0] / parts[1])
         bad = [value < rule.low] if rule.low is not None else []
         bad += [value > rule.high] if rule.high is not None else []
+        if "n_stop_words" in rule.metric:
+            return F.when(listed & reduce(Column.__or__, bad), F.lit(rule.name))
         return F.when(reduce(Column.__or__, bad), F.lit(rule.name))
 
     return F.array_compact(F.array(*[failed(r) for r in rules]))
@@ -135,7 +138,9 @@ def verdict(counts: str, rules: tuple[Rule, ...] = RULES) -> Column:
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """All columns of ``docs``, and a struct ``quality`` of counts and array ``failed_rules`` (or ``_quality`` ... if taken)."""
     counts, failed = fresh(docs, "quality", "failed_rules")
-    return measured(docs, counts, text_col, lang_col).withColumn(failed, verdict(counts, rules))
+    judged = measured(docs, counts, text_col, lang_col)
+    lang = col(judged, lang_col) if lang_col in docs.columns else None
+    return judged.withColumn(failed, verdict(counts, rules, lang))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
