@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -176,3 +177,25 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for i in range(size):
         out = _mixed(out * _BASE + words[i : i + n])
     return out
+
+
+def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str], rows_of: str, share: int = 1_000) -> DataFrame:
+    """Left-join ``totals``, one row for each value of ``keys`` (nulls equal), whose column ``rows_of`` counts their rows.
+
+    Values with at least one row in ``share`` are at most ``share`` of them, so these are broadcast and their rows stay
+    where they are; all other rows meet their totals by a shuffle, in which no key is hot. ``rows`` and ``totals``
+    should be written tables: both are read twice. Columns of ``totals`` other than ``keys`` need new names.
+    """
+    n = totals.agg(F.sum(rows_of)).first()[0] or 0
+    heavy = totals.filter(F.col(rows_of) * share >= n)
+    mark, *names = fresh(rows.join(totals.drop(*keys)), "_heavy", *[f"_key{i}" for i in range(len(keys))])
+
+    def met(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(*[col(right, k).alias(m) for k, m in zip(keys, names, strict=True)], *[col(right, c) for c in right.columns if c not in keys])
+        same = [F.col(m).eqNullSafe(col(left, k)) for k, m in zip(keys, names, strict=True)]
+        return left.join(right, reduce(lambda a, b: a & b, same), how).drop(*names)
+
+    # Rows of heavy keys are told apart by the marker that their totals bring along.
+    near = met(rows, F.broadcast(heavy.withColumn(mark, F.lit(True))), "inner").drop(mark)
+    far = met(rows, F.broadcast(heavy.select(*keys)), "left_anti")
+    return near.unionByName(met(far, totals.filter(F.col(rows_of) * share < n), "left"))

@@ -2,14 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import html_text, jaccard_join, multi_index, packing, quality_lm, sharding, substring_dedup, token_files, trie_bpe
+from tokenloom.llm import (
+    html_text,
+    jaccard_join,
+    mixture,
+    multi_index,
+    packing,
+    periodic_runs,
+    quality_lm,
+    sharding,
+    substring_dedup,
+    token_files,
+    trie_bpe,
+    vector_codes,
+)
 from tokenloom.llm import quality_rules as rules
-from tokenloom.llm.common import SPACE_CLASS
+from tokenloom.llm.common import SPACE_CLASS, join_totals, staged
 from tokenloom.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -215,3 +229,140 @@ def op2_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_lm.classified(docs, table(spark, sf_dir, "labels")).drop("mark")
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every usable vector, the errors of its label, and a digest of the final codebooks."""
+    done = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    digest = hashlib.sha256(",".join(map(str, done.codebooks.ravel().tolist())).encode()).hexdigest()
+    # Errors of a label are summed in a wider type and stop at the largest long.
+    totals = done.rows.groupBy("label").agg(F.count("*").alias("n_rows"), F.sum(F.col("error").cast("decimal(38,0)")).alias("total"))
+    joined = join_totals(done.rows, staged(totals, "label-errors"), ["label"], "n_rows")
+    code = F.array_join(F.transform("code", lambda e: F.lpad(F.lower(F.hex(e.cast("long"))), 2, "0")), "")
+    return joined.select(
+        "vec_id", code.alias("code"), "error", F.least("total", F.lit(2**63 - 1)).cast("long").alias("label_error"), F.lit(digest).alias("codebooks_sha256")
+    )
+
+
+def _codes_sql(rule: vector_codes.Codes = vector_codes.Codes(), width: int = 8) -> str:
+    """Rounds as a chain of tables: nearest entries by squared distance, then means; ``width`` components a part, as in the given table."""
+    parts = range(rule.parts)
+    cut = ", ".join(f"w[{p * width + 1}:{(p + 1) * width}]" for p in parts)
+    far = " + ".join(f"(x.v[{i}] - b.v[{i}]) * (x.v[{i}] - b.v[{i}])" for i in range(1, width + 1))
+    mean = ", ".join(f"(sum(v[{i}]) - (((sum(v[{i}]) % count(*)) + count(*)) % count(*)))::HUGEINT // count(*)" for i in range(1, width + 1))
+    ctes = [
+        f"""good AS (SELECT vec_id, label, list_transform(embedding, lambda c: floor({rule.scale} * c::DOUBLE)::BIGINT) AS w FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)""",
+        f"x AS MATERIALIZED (SELECT vec_id, label, unnest(range({rule.parts})) AS p, unnest([{cut}]) AS v FROM good)",
+        "firsts AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM good)",
+        f"b0 AS MATERIALIZED (SELECT p, e, v FROM x JOIN firsts USING (vec_id) WHERE e < {rule.entries})",
+    ]
+    for r in range(rule.rounds + 1):
+        ctes.append(
+            f"""a{r} AS MATERIALIZED (SELECT vec_id, label, p, min(d * 256 + e) % 256 AS e, min(d * 256 + e) // 256 AS d, any_value(v) AS v
+            FROM (SELECT x.vec_id, x.label, x.p, x.v, b.e, {far} AS d FROM x JOIN b{r} b ON x.p = b.p) GROUP BY vec_id, label, p)"""
+        )
+        if r < rule.rounds:
+            ctes.append(
+                f"""b{r + 1} AS MATERIALIZED (SELECT o.p, o.e, coalesce(n.v, o.v) AS v FROM b{r} o
+                LEFT JOIN (SELECT p, e, [{mean}]::BIGINT[] AS v FROM a{r} GROUP BY p, e) n ON o.p = n.p AND o.e = n.e)"""
+            )
+    last = f"a{rule.rounds}"
+    return f"""WITH {", ".join(ctes)},
+    digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rule.rounds}),
+    c AS (SELECT vec_id, label, string_agg(lpad(lower(hex(e::BIGINT)), 2, '0'), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM {last} GROUP BY vec_id, label)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM c, digest"""
+
+
+ORACLES["op11_vector_codes"] = _codes_sql()
+
+
+def looped_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: with h the CRC-32 of the decimal id and g = floor(h / 10), the words of a text whose h ends in 0 repeat
+    from word g % n on, with a period that leaves three to ten times its length; all other texts as they are."""
+    words = F.array_remove(F.split("text", f"{SPACE_CLASS}+"), "")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, g = F.size("ws"), F.expr("h div 10")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("ws"))
+    rows = rows.withColumn("a", F.expr("CASE WHEN size(ws) > 0 THEN cast((h div 10) % size(ws) AS int) END"))
+    rows = rows.withColumn("p", (F.lit(1) + F.call_function("div", n - F.col("a"), F.lit(3) + g % 8)).cast("int"))
+    place = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")))
+    looped = F.array_join(F.transform(place, lambda i: F.get("ws", i)), " ")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), looped).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, and what is left when each keeps one period."""
+    rows = periodic_runs.find_runs(looped_texts(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    rows = periodic_runs.with_strongest(rows.select("doc_id", "periodic.runs", "periodic.collapsed"), "runs")
+    best, spelled = F.col("strongest"), F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n")))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.start.alias("start"),
+        best.length.alias("length"),
+        best.period.alias("period"),
+        F.call_function("div", best.length * 1000, best.period).alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(spelled, ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
+# A run of 24 words or more, and of three periods, has 16 words or more that the word a period on equals, so nine 8-word windows
+# in a row with an equal one a period on. A stretch that a shorter period has too isn't a run of the longer one.
+ORACLES["op12_periodic_runs"] = r"""WITH
+codes AS (SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws,
+    xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+        lambda acc, x: xor(acc >> 8, t[(xor(acc, x) & 255) + 1])), 4294967295) AS h FROM documents, codes),
+g AS (SELECT *, len(ws) AS n, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM d),
+m AS MATERIALIZED (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: ws[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END) + 1]) ELSE ws END AS ws FROM g),
+w8 AS (SELECT doc_id, unnest(range(n - 7)) AS i, unnest(list_transform(range(n - 7), lambda i: hash(ws[i + 1 : i + 8]))) AS k FROM m WHERE n >= 24),
+again AS MATERIALIZED (SELECT doc_id, i, k FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM w8) WHERE c > 1),
+eq AS (SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM again x JOIN again y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i),
+isl AS (SELECT doc_id, q, min(i) AS s, max(i) + 8 + q AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS z FROM eq) GROUP BY doc_id, q, z),
+runs AS MATERIALIZED (SELECT doc_id, s AS start, e - s AS length, min(q) AS period FROM isl GROUP BY doc_id, s, e HAVING e - s >= greatest(24, 3 * min(q))),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+spelled AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+w AS (SELECT doc_id, unnest(range(n)) AS i, unnest(ws) AS w FROM m WHERE doc_id IN (SELECT doc_id FROM runs)),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT m.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+    (length * 1000 // period)::BIGINT AS exponent_milli, sha256(coalesce(s.t, '')) AS runs_sha256,
+    sha256(coalesce(kept.t, array_to_string(ws, ' '))) AS collapsed_sha256
+FROM m LEFT JOIN best USING (doc_id) LEFT JOIN spelled s USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query
+def op13_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mixture of sources takes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = mixture.mix(docs, keep=["doc_id"])
+    return rows.select("doc_id", *[F.col(f"mix.{c}").alias(c) for c in ("size", "source_size", "target", "taken")])
+
+
+def _mixture_sql(plan: mixture.Mixture = mixture.Mixture()) -> str:
+    up, down, most = *plan.share, plan.share[1] * plan.epochs
+    weights = f"[{', '.join(map(str, plan.weights))}]"
+    return rf"""WITH
+    d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size,
+        md5('{plan.seed}|' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+    s AS (SELECT source, sum(size) AS n, {weights}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(plan.weights)}) + 1] AS w FROM d GROUP BY source),
+    r AS (SELECT *, sum(n) OVER () AS total, sum(w) OVER () AS all_w,
+        coalesce(sum(n) OVER (ORDER BY n::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lighter,
+        coalesce(sum(w) OVER (ORDER BY n::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used FROM s),
+    h AS (SELECT *, ({up} * total - {most} * lighter) * w > {most} * n * (all_w - used) AS held FROM r),
+    f AS (SELECT *, {up} * total - {most} * coalesce(sum(n) FILTER (WHERE held) OVER (), 0) AS rest, sum(w) FILTER (WHERE NOT held) OVER () AS free_w FROM h),
+    t AS (SELECT source, n, CASE WHEN held THEN ({plan.epochs} * n)::DOUBLE ELSE (rest * w)::DOUBLE / ({down} * free_w)::DOUBLE END AS target,
+        CASE WHEN held THEN {plan.epochs} * n ELSE rest * w // ({down} * free_w) END AS budget FROM f),
+    p AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY k, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
+    SELECT doc_id, size::BIGINT AS size, n::BIGINT AS source_size, target,
+        ((budget // greatest(n, 1)) * size + greatest(0, least(size, budget % greatest(n, 1) - before)))::BIGINT AS taken
+    FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source"""
+
+
+ORACLES["op13_source_mixture"] = _mixture_sql()
