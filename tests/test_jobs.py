@@ -8,7 +8,7 @@ from tokenloom.operators import encoding as en
 from tokenloom.operators import inference as inf
 from tokenloom.operators import merges as mg
 from tokenloom.operators import packing as pk
-from tokenloom.operators.cleaning import clean_lines
+from tokenloom.operators.cleaning import ReportedCleaning, clean_lines, cleaning_report
 from tokenloom.plans.corpus import prepare_corpus, run_job
 from tokenloom.sources import lines as ln
 from tokenloom.sources.artifact import load_tokenizer
@@ -77,7 +77,7 @@ def test_training_on_real_text_equals_the_plain_trainer(spark):
 
 
 @pytest.mark.parametrize("workers", [1, 2])
-def test_every_line_is_cleaned_once(spark, workers):
+def test_every_line_is_cleaned_once(spark, monkeypatch, workers):
     from tokenloom.config import CleaningConfig, JobConfig, LoaderConfig
     from tokenloom.plans import corpus
 
@@ -89,15 +89,13 @@ def test_every_line_is_cleaned_once(spark, workers):
         return text
 
     lines = ln.doc_lines(spark.read.parquet(f"{SF}/documents.parquet")).withColumn("split", F.lit("train")).repartition(4)
-    clean_lines_ = corpus.clean_lines
-    corpus.clean_lines = lambda raw, cfg: clean_lines_(raw.withColumn("text", counted("text")), cfg)
-    try:
-        tok = _tokenizer(spark)
-        done = corpus.prepare_corpus(lines, JobConfig(CleaningConfig(), loader=LoaderConfig(num_workers=workers)), tokenizer=tok)
-        assert done.lines.count() > 1000
-    finally:
-        corpus.clean_lines = clean_lines_
-    assert seen.value == lines.count()
+    monkeypatch.setattr(corpus, "ReportedCleaning", lambda raw, *more: ReportedCleaning(raw.withColumn("text", counted("text")), *more))
+    done = corpus.prepare_corpus(lines, JobConfig(CleaningConfig(), loader=LoaderConfig(num_workers=workers)), tokenizer=_tokenizer(spark))
+    assert done.lines.count() > 1000
+    report = {r.split: (r.lines_in, r.lines_kept, r.tokens) for r in done.report.collect()}
+    assert report == {**{r.split: (r.lines_in, r.lines_kept, r.tokens) for r in cleaning_report(lines).collect()}, "val": (0, 0, 0)}
+    # The lines and their report come from one cleaning.
+    assert seen.value == lines.count() == report["train"][0]
 
 
 def _tokenizer(spark):
@@ -164,6 +162,67 @@ def test_streams_equal_batch(spark, tmp_path):
     assert spark.table("coded").count() == 2
 
 
+def test_text_files_in_three_triggers_equal_batch(spark, tmp_path):
+    """Files of many blocks, blank lines, an empty file; a restart between triggers and one in the middle of a batch."""
+    tok, folder, out = _tokenizer(spark), tmp_path / "texts", f"{tmp_path}/out"
+    folder.mkdir()
+
+    def arrive(*names):
+        for name in names:
+            body = "" if name == "c0" else "\n".join("" if k % 7 == 3 else f"low newest lower {name} {k}" for k in range(400))
+            (folder / f".{name}").write_text(body)
+            (folder / f".{name}").rename(folder / f"{name}.txt")
+
+    def rows_of(lines):
+        encoded = sm.stream_clean_encode(lines.withColumn("line_no", F.col("line_no").cast("int")), tok)
+        return pk.shard_lines(encoded, 3)
+
+    broken = []
+
+    def fails_once(lines):
+        if not broken and lines.filter(F.col("file").endswith("b1.txt")).count():
+            broken.append(1)
+            raise RuntimeError("lost")
+        return rows_of(lines)
+
+    def run(then):
+        stream = sm.stream_text(spark, str(folder), files_per_trigger=2)
+        writer = sm.stream_pack(stream, 16, out, tok.eos_id, sm.numbered(out, then))
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # several blocks a file
+    try:
+        arrive("a0", "a1")
+        run(rows_of)
+        arrive("b0", "b1")
+        with pytest.raises(Exception, match="lost"):
+            run(fails_once)
+        run(fails_once)
+        arrive("c0", "c1")
+        run(rows_of)
+        lines = ln.read_text_lines(spark, str(folder))
+        assert lines.filter("line_no > 0").select(F.spark_partition_id()).distinct().count() > 1
+        want = pk.pack_ids(rows_of(lines).withColumn("input_ids", pk.append_eos(F.col("input_ids"), tok.eos_id)), 16)
+        got = sm.packed_blocks(spark, out).unionByName(sm.flush_remainder(spark, out))
+        key = ("shard", "block", "input_ids", "n")
+        assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
+        files = {r.file.rsplit("/", 1)[-1]: (r.doc_id, r["lines"]) for r in sm.numbered_files(spark, out).collect()}
+        # The empty file has no lines, and so no number; names are in order of arrival here.
+        assert files == {"a0.txt": (0, 400), "a1.txt": (1, 400), "b0.txt": (2, 400), "b1.txt": (3, 400), "c1.txt": (4, 400)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_report_of_named_splits_only(spark, tmp_path):
+    rows = [("a", "One two three four"), ("a", None), ("b", "short"), (None, "Some line of text"), ("c", "Five <b>words</b> are in here")]
+    lines = spark.createDataFrame(rows, "split string, text string")
+    cleaning = ReportedCleaning(lines, ["a", "b", "none"], CleaningConfig(min_length=8))
+    cleaning.lines.write.parquet(f"{tmp_path}/kept")
+    assert sorted(map(tuple, cleaning.report().collect())) == [("a", 2, 1, 4), ("b", 1, 0, 0), ("none", 0, 0, 0)]
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 3 and cleaning.lines.columns == ["split", "clean"]
+
+
 def test_no_stream_output_yet(spark, tmp_path):
     assert sm.flush_remainder(spark, f"{tmp_path}/none").count() == 0
 

@@ -119,18 +119,55 @@ def test_the_two_masks_differ_on_a_real_pad_id(spark):
     assert (row.value, row.length) == ([1, 0, 1], [1, 1, 1, 0])
 
 
-def test_shuffle_is_a_seeded_permutation_of_each_stretch(spark):
-    blocks = spark.range(25).selectExpr("cast(id % 1 as int) shard", "id block", "array(cast(id as int)) input_ids")
-
-    def positions(seed, parts=4, buffer=10):
-        rows = bt.shuffle_blocks(blocks.repartition(parts), buffer, seed).collect()
-        return {r.block: r.position for r in rows}
-
-    first = positions(1)
-    assert sorted(first.values()) == list(range(25))
-    assert all(b // 10 == p // 10 for b, p in first.items())
-    assert first == positions(1, parts=7) != positions(2)
-    assert positions(1, buffer=1) == {i: i for i in range(25)}
+def buffered(n, buffer, draws, rest):
+    """Numbers 0 to n - 1 through a buffer, one after the other; ``draws`` are slots, ``rest`` orders what is left."""
+    held, out = [], []
+    for i in range(n):
+        if len(held) < buffer:
+            held.append(i)
+        else:
+            slot = draws[i - buffer]
+            out.append(held[slot])
+            held[slot] = i
+    return out + rest(held)
+
+
+@pytest.mark.parametrize("n, buffer", [(300, 10), (25, 10), (10, 10), (11, 10), (7, 10), (1, 2), (60, 2)])
+def test_shuffle_equals_a_sequential_buffer(spark, n, buffer):
+    draw = bt.drawn_slot(buffer, 1, ("shard",), F.col("block"))
+    blocks = spark.range(2 * n).selectExpr("cast(id % 2 as int) shard", "id div 2 block", "array(cast(id as int)) input_ids")
+    slots = {(r.shard, r.block): r.slot for r in blocks.select("shard", "block", draw.alias("slot")).collect()}
+    for parts in (1, 5):
+        got = bt.shuffle_blocks(blocks.repartition(parts), buffer, 1)
+        assert got.columns == ["shard", "block", "input_ids", "position"]
+        rows = got.collect()
+        assert all(r.input_ids == [2 * r.block + r.shard] for r in rows)
+        for shard in (0, 1):
+            order = [r.block for r in sorted((r for r in rows if r.shard == shard), key=lambda r: r.position)]
+            assert sorted(r.position for r in rows if r.shard == shard) == list(range(n))
+            left = order[max(0, n - buffer) :]
+            want = buffered(n, buffer, [slots[shard, i] for i in range(n)], lambda held: left if sorted(held) == sorted(left) else [])
+            assert order == want
+
+
+def test_shuffle_depends_on_seed_and_lets_samples_wait(spark):
+    blocks = spark.range(2000).selectExpr("0 shard", "id block")
+    order = {r.block: r.position for r in bt.shuffle_blocks(blocks, 20, 1).collect()}
+    other = {r.block: r.position for r in bt.shuffle_blocks(blocks, 20, 2).collect()}
+    same = {r.block: r.position for r in bt.shuffle_blocks(blocks, 1, 1).collect()}
+    assert order != other and all(b == p for b, p in same.items())
+    waits = [p - b for b, p in order.items()]
+    # A sample can wait many times the buffer's length, and none comes more than a buffer early.
+    assert max(waits) > 60 and min(waits) >= -20 and len({p % 20 for p in order.values()}) == 20
+
+
+def test_the_two_parts_of_a_shuffle_read_one_exchange(spark):
+    blocks = spark.range(100).selectExpr("0 shard", "id block", "array(cast(id as int)) input_ids")
+    rows = bt.shuffle_blocks(blocks, 10)
+    rows.write.format("noop").mode("overwrite").save()
+    plan = rows._jdf.queryExecution().executedPlan()
+    rows.collect()
+    assert "ReusedExchange" in plan.toString()
 
 
 def test_loader_schema_and_partial_batches(as_lines):

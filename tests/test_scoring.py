@@ -54,6 +54,23 @@ def test_loss_against_plain_counting(spark, broadcast):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_levels_of_losses_from_one_lookup(spark):
+    rng = random.Random(3)
+    rows = [(s, h, b, [rng.randrange(6) for _ in range(rng.randrange(2, 9))]) for s in ("train", "val", None) for h in (0, 1) for b in range(3)]
+    pairs = sc.next_token_pairs(spark.createDataFrame(rows, "split string, shard int, batch_id long, input_ids array<int>"), ["split", "shard", "batch_id"])
+    table = sc.bigram_table(pairs.filter("split = 'train'"), 8)
+    out = sc.loss_levels(pairs, table, 8)
+    got = {(r.level, r.split, r.shard, r.batch_id): (r.n, r.nll, r.perplexity) for r in out.collect()}
+    assert len(got) == 18 + 3 + 1
+    for level, by in ((0, ["split", "shard", "batch_id"]), (3, ["split"]), (7, [])):
+        for r in sc.perplexity(sc.masked_nll(pairs, table, 8, by)).collect():
+            key = (level, *[r[c] if c in by else None for c in ("split", "shard", "batch_id")])
+            assert got[key] == (r.n, pytest.approx(r.nll), pytest.approx(r.perplexity))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # One look-up of pairs and one of unseen scores for all levels.
+    assert plan.count("Join LeftOuter") == 2 and plan.count("Expand") == 1
+
+
 def test_perplexity_is_capped_and_bad_losses_raise(spark):
     df = spark.createDataFrame([(1, 50.0), (1, 1.0)], "n long, nll double")
     assert sorted(r.perplexity for r in sc.perplexity(df).collect()) == [pytest.approx(math.e), pytest.approx(math.exp(20))]

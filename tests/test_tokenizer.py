@@ -121,6 +121,35 @@ def test_training_equals_the_plain_trainer(as_lines):
     assert [(m.left, m.right, m.pair_freq) for m in tok.merges] == rules
 
 
+@pytest.mark.parametrize("head", [2048, 9])
+def test_rounds_touch_only_words_that_a_merge_rewrites(as_lines, monkeypatch, head):
+    """600 merges equal those of the plain trainer; the words looked at are those whose symbols change, and no others."""
+    monkeypatch.setattr(mg, "_HEAD", head)
+    rng = random.Random(8)
+    n, size = (600, 640) if head == 2048 else (60, 100)
+    letters = "etaoinshrdlucm"
+    vocabulary = sorted({"".join(rng.choice(letters[: rng.randrange(2, 15)]) for _ in range(rng.randrange(1, 12))) for _ in range(n)})
+    texts = [" ".join(rng.choices(vocabulary, weights=range(len(vocabulary), 0, -1), k=200)) for _ in range(15)]
+    words, rounds = wd.word_filter(wd.word_counts(as_lines(texts)), CFG), []
+    tok = mg.train_from_words(words, TokenizerConfig(vocab_size=size, min_frequency=1), rounds)
+    rules = plain.learn(texts, size)[1]
+    assert [(m.left, m.right, m.pair_freq) for m in tok.merges] == rules and len(rules) >= 0.9 * n
+    kept = {w: list(w) for t in texts for w in plain.words(t)}
+    known, at = {c for s in kept.values() for c in s}, 0
+    for r in rounds[:-1]:
+        own, before = rules[at : at + r.merges], kept
+        made = {a + b for a, b, _ in own}
+        for a, b, _ in own:
+            kept = {w: plain.join_pair(s, a, b) for w, s in kept.items()}
+        # A symbol that another merge had made before is counted anew wherever it stands.
+        again = made & known
+        assert r.touched == sum(kept[w] != before[w] or bool(again & set(kept[w])) for w in kept)
+        known |= made
+        at += r.merges
+    assert len(rounds) < len(rules) and sum(r.head_read for r in rounds) <= (3 if head == 2048 else len(rounds))
+    assert sum(r.touched for r in rounds) < 0.5 * len(kept) * len(rounds)
+
+
 def test_pair_operators_step_by_step(as_lines):
     words = mg.word_symbols(wd.word_filter(wd.word_counts(as_lines(GOLDEN)), CFG))
     top = mg.best_pair(mg.pair_counts(words)).first()

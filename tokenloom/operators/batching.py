@@ -16,24 +16,39 @@ from tokenloom.operators.vocabulary import Tokenizer
 from tokenloom.sources.lines import ORDER, nonblank_lines
 
 
+def drawn_slot(buffer: int, seed: int, groups: Sequence[str], step: Column) -> Column:
+    """The buffer slot that is given out at a step: 48 bits of an MD5 of seed, groups and step, modulo ``buffer``."""
+    code = F.md5(F.concat_ws(":", F.lit(str(seed)), *groups, step).cast("binary"))
+    return F.pmod(F.conv(F.substring(code, 1, 12), 16, 10).cast("long"), F.lit(buffer))
+
+
 def shuffle_blocks(
     blocks: DataFrame, buffer: int, seed: int = 0, groups: Sequence[str] = ("shard",), index: str = "block"
 ) -> DataFrame:
-    """Add ``position``: a seeded permutation within each run of ``buffer`` consecutive samples.
+    """Add ``position``: the order in which a replacement buffer gives out the samples of each group.
 
-    A buffer of one or less leaves the order alone. No group holds more than ``buffer`` rows.
+    The first ``buffer`` samples fill the buffer. Each later one is a step: a slot is drawn, its sample is given out, and the
+    new one takes its place; at the end the samples left are given out in random order. ``index`` numbers a group's
+    samples from 0 without gaps; a buffer of one or less leaves the order alone.
+
+    The draws don't depend on the samples, so the buffer needs no loop: samples of one slot form a chain, and a sample leaves
+    at the step that brings the chain's next one. A task sorts the chain of one slot, a ``buffer``-th of a group; only the
+    samples left at the end, at most ``buffer`` of a group, are ordered together. Both parts read one exchange.
     """
     if buffer <= 1:
         return blocks.withColumn("position", F.col(index))
-    stretch = F.floor(F.col(index) / buffer)
-    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), *groups, index).cast("binary"))
-    order = Window.partitionBy(*groups, "_stretch").orderBy("_draw", index)
-    return (
-        blocks.withColumn("_stretch", stretch)
-        .withColumn("_draw", draw)
-        .withColumn("position", F.col("_stretch") * buffer + F.row_number().over(order) - 1)
-        .drop("_stretch", "_draw")
-    )
+    place = F.col(index).cast("bigint")
+    slot = F.when(place < buffer, place).otherwise(drawn_slot(buffer, seed, groups, place - buffer))
+    chain = Window.partitionBy(*groups, "_slot").orderBy(index)
+    chained = blocks.withColumn("_slot", slot).withColumn("_next", F.lead(place).over(chain))
+    out = chained.filter("_next IS NOT NULL").withColumn("position", F.col("_next") - buffer)
+    # The last sample of a group is always among those left, so its number tells how many samples there are.
+    left = Window.partitionBy(*groups)
+    last = F.md5(F.concat_ws(":", F.lit(f"{seed}:left"), *groups, index).cast("binary"))
+    at_end = chained.filter("_next IS NULL").withColumn("_draw", last)
+    at_end = at_end.withColumn("_n", F.max(place).over(left) + 1).withColumn("_rank", F.row_number().over(left.orderBy("_draw", index)))
+    at_end = at_end.withColumn("position", F.greatest(F.lit(0), F.col("_n") - buffer) + F.col("_rank") - 1)
+    return out.drop("_slot", "_next").unionByName(at_end.drop("_slot", "_next", "_draw", "_n", "_rank"))
 
 
 def batch_blocks(samples: DataFrame, batch_size: int, position: str = "position") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.config import IGNORE_LABEL
@@ -45,8 +45,8 @@ def unseen_table(table: DataFrame, vocab_size: int) -> DataFrame:
     return table.groupBy("prev_id").agg((-F.log(F.sum("n") + vocab_size)).alias("unseen_log_prob"))
 
 
-def masked_nll(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str] = ()) -> DataFrame:
-    """``by, n, nll``: predictions and their mean negative log-likelihood, ignored labels left out.
+def _scored(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str]) -> DataFrame:
+    """``by, n, loss``: a row per group and distinct pair, with the negative log-likelihood of its ``n`` predictions together.
 
     Equal pairs of a group are counted before the lookup, so it joins one row per distinct pair and group. Whether
     the score table is broadcast is left to its real size; where it is not, a pair found in nearly all groups makes a
@@ -57,9 +57,34 @@ def masked_nll(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence
     counted = pairs.groupBy(*by, *PAIR).agg(F.count("*").alias("n"))
     scored = counted.join(table.select(*PAIR, "log_prob"), list(PAIR), "left").join(F.broadcast(unseen_table(table, vocab_size)), "prev_id", "left")
     nll = -F.coalesce("log_prob", "unseen_log_prob", -F.log(F.lit(float(vocab_size))))
-    return scored.groupBy(*by).agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * nll) / F.sum("n")).alias("nll")
-    )
+    return scored.select(*by, "n", (F.col("n") * nll).alias("loss"))
+
+
+def _means() -> list[Column]:
+    return [F.sum("n").alias("n"), (F.sum("loss") / F.sum("n")).alias("nll")]
+
+
+def masked_nll(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str] = ()) -> DataFrame:
+    """``by, n, nll``: predictions and their mean negative log-likelihood, ignored labels left out."""
+    return _scored(pairs, table, vocab_size, by).groupBy(*by).agg(*_means())
+
+
+def loss_levels(
+    pairs: DataFrame,
+    table: DataFrame,
+    vocab_size: int,
+    by: Sequence[str] = ("split", "shard", "batch_id"),
+    levels: Sequence[Sequence[str]] = (("split",), ()),
+) -> DataFrame:
+    """Losses of every group of ``by`` and of the coarser ``levels`` at once: ``level, by, n, nll, perplexity``.
+
+    Pairs are looked up once, and one exchange adds all levels up from their sums, so a level is the mean over its
+    predictions and not over its groups. ``level`` is the grouping id: a bit for each column of ``by``, the first one
+    highest, set where the row is a total over that column (which is null in it).
+    """
+    sets = [list(by), *map(list, levels)]
+    summed = _scored(pairs, table, vocab_size, by).groupingSets(sets, *by).agg(F.grouping_id(*by).cast("int").alias("level"), *_means())
+    return perplexity(summed).select("level", *by, "n", "nll", "perplexity")
 
 
 def perplexity(losses: DataFrame) -> DataFrame:

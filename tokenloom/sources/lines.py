@@ -45,35 +45,40 @@ def drop_heading_lines(lines: DataFrame, text_col: str = "text") -> DataFrame:
     return nonblank_lines(lines, text_col).filter(~F.startswith(F.col(text_col), F.lit("=")))
 
 
-def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Number the lines of splittable text files: ``file, doc_id, line_no, text``.
+def file_lines(reader: DataFrame) -> DataFrame:
+    """``file, block, text`` of a text source, batch or stream: the lines, and the file block that a task reads them from."""
+    return reader.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col("value").alias("text"),
+    )
+
+
+def number_file_lines(raw: DataFrame, first_doc: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Number the rows of :func:`file_lines`: ``file, doc_id, line_no, text``, and a written ``file, doc_id, lines`` of the files.
 
     Tasks see whole file blocks in order, so a line's number is its place within its block plus the
     lines of the file's earlier blocks. The place comes from one read that is staged, since ids given
     by position in a task must not be recomputed; only one row per block is summed over. ``doc_id``
-    is the rank of the file by name, from 0, so that the order of the lines does not depend on where the
+    is the rank of the file by name, from ``first_doc``, so that the order of the lines does not depend on where the
     folder lies.
     """
-    raw = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.col("value").alias("text"),
-    )
-    staged = stage(raw, "text-lines")
+    staged = stage(raw.withColumn("seq", F.monotonically_increasing_id()), "text-lines")
     blocks = staged.groupBy("file", "block").agg(F.min("seq").alias("first_seq"), F.count("*").alias("n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.sum("n").over(before)
-    blocks = blocks.withColumn("shift", F.coalesce(earlier, F.lit(0)) - F.col("first_seq")).drop("n", "first_seq")
+    shift = F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first_seq")
     # One row per file block, so one task orders the files.
-    blocks = blocks.withColumn("doc_id", F.dense_rank().over(Window.orderBy("file")).cast("bigint") - 1)
-    blocks = stage(blocks, "text-blocks")
-    return staged.join(blocks, ["file", "block"]).select(
-        "file",
-        "doc_id",
-        (F.col("seq") + F.col("shift")).alias("line_no"),
-        "text",
+    doc_id = F.dense_rank().over(Window.orderBy("file")).cast("bigint") - 1 + first_doc
+    blocks = stage(blocks.select("file", "block", "n", shift.alias("shift"), doc_id.alias("doc_id")), "text-blocks")
+    lines = staged.join(blocks.drop("n"), ["file", "block"]).select(
+        "file", "doc_id", (F.col("seq") + F.col("shift")).alias("line_no"), "text"
     )
+    return lines, blocks.groupBy("file", "doc_id").agg(F.sum("n").alias("lines"))
+
+
+def read_text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Number the lines of splittable text files: ``file, doc_id, line_no, text``; ``doc_id`` ranks the files by name."""
+    return number_file_lines(file_lines(spark.read.text(path)))[0]
 
 
 def write_text_lines(lines: DataFrame, path: str, text_col: str = "text", order: tuple[str, ...] = ()) -> None:

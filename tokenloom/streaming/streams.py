@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from tokenloom.operators.cleaning import clean_lines
 from tokenloom.operators.encoding import encode_documents
 from tokenloom.operators.packing import append_eos, pack_ids
 from tokenloom.operators.vocabulary import Tokenizer
-from tokenloom.sources.lines import ORDER
+from tokenloom.sources.lines import ORDER, file_lines, number_file_lines
 from tokenloom.staging import discard, scratch
 
 BLOCK_SCHEMA = "shard int, block long, input_ids array<int>, n int"
@@ -38,9 +40,46 @@ def stream_documents(
     return docs.repartition(spark.sparkContext.defaultParallelism, spread_by) if spread_by else docs
 
 
-def stream_text(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files as they arrive: ``text``."""
-    return spark.readStream.text(path).withColumnRenamed("value", "text")
+FILE_SCHEMA = "file string, doc_id long, lines long"
+
+
+def stream_text(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of text files as they arrive: ``file, block, text``. :func:`numbered` gives them numbers."""
+    reader = spark.readStream
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return file_lines(reader.text(path))
+
+
+def numbered(path: str, then: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], DataFrame]:
+    """A preparation of micro-batches of :func:`stream_text`: number the lines, then do ``then`` on ``file, doc_id, line_no, text``.
+
+    ``line_no`` is a line's place in its file, from 0, also where several tasks read the file. ``doc_id`` counts the files
+    in order of arrival, those of a batch by name. It goes on from the register ``path/files``, a table per batch of the files
+    and numbers given out so far by it; a batch that is run again after a failure overwrites its own entry and so
+    gives the same numbers. A file is expected to be complete when it appears, as Spark's file source is.
+    """
+
+    def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        earlier = _registered(spark, path, batch_id - 1)
+        first = (earlier.agg(F.max("doc_id")).first()[0] + 1) if earlier is not None else 0
+        lines, files = number_file_lines(batch, first)
+        # A row without a file carries the last number on past a batch without lines.
+        last = spark.createDataFrame([(None, first - 1, 0)], FILE_SCHEMA)
+        files.unionByName(last).coalesce(1).write.mode("overwrite").parquet(f"{path}/files/batch={batch_id}")
+        return then(lines)
+
+    return prepare
+
+
+def _registered(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    return spark.read.schema(FILE_SCHEMA).parquet(f"{path}/files/batch={batch_id}") if batch_id >= 0 else None
+
+
+def numbered_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file, doc_id, lines`` of all files that a stream under ``path`` has numbered so far."""
+    return spark.read.schema(f"{FILE_SCHEMA}, batch long").parquet(f"{path}/files").filter("file IS NOT NULL").drop("batch")
 
 
 def stream_clean_encode(
@@ -51,9 +90,17 @@ def stream_clean_encode(
     return encode_documents(cleaned, tokenizer, "clean", ascii_only=cleaning.remove_special_chars)
 
 
-def stream_pack(encoded: DataFrame, max_length: int, path: str, eos: int | None = None) -> DataStreamWriter:
+def stream_pack(
+    encoded: DataFrame,
+    max_length: int,
+    path: str,
+    eos: int | None = None,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+) -> DataStreamWriter:
     """Pack arriving ``shard, doc_id, line_no, input_ids`` into whole blocks under ``path/blocks``.
 
+    ``prepare`` makes such rows of a micro-batch and its number, for what a streaming plan can't do (:func:`numbered`).
+
     Each micro-batch is packed by the batch operator, so neither a large batch nor a hot shard passes
     through one task. What is carried from batch to batch is each shard's unfinished block (fewer than
     ``max_length`` ids) and its next block number, kept as a table per batch: a batch that is run
@@ -63,10 +110,12 @@ def stream_pack(encoded: DataFrame, max_length: int, path: str, eos: int | None
 
     def pack_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # The ordering sort samples its input: without this the batch would be cleaned and encoded twice.
-        batch.persist()
         try:
             with scratch(spark):
+                if prepare is not None:
+                    batch = prepare(batch, batch_id)
+                # The ordering sort samples its input: without this the batch would be cleaned and encoded twice.
+                batch.persist()
                 write_batch(spark, batch, batch_id)
             # The state before the last one serves a repetition of the last batch; older ones serve nothing.
             if batch_id >= 2:

@@ -212,13 +212,19 @@ _packed("pack", "shard", "")
 _packed("lang", "lang, shard", "lang,")
 _packed("split", "split, shard", f"replace({_split_of()}, 'test', 'train') AS split,")
 
-_POSITION = f"""(block // {BUFFER}) * {BUFFER} + row_number() OVER (
-    PARTITION BY {{groups}} block // {BUFFER} ORDER BY md5('{SEED}:' || shard || ':' || block), block) - 1"""
+def _shuffled(source: str, columns: str) -> str:
+    """``columns`` and ``position`` of the rows of ``source``: chains of equal slots, and those left at the end."""
+    step = f"concat_ws(':', '{SEED}', shard, block - {BUFFER})"
+    slot = f"CASE WHEN block < {BUFFER} THEN block ELSE ('0x' || substr(md5({step}), 1, 12))::BIGINT % {BUFFER} END"
+    chain = f"SELECT *, lead(block) OVER (PARTITION BY shard, slot ORDER BY block) AS nxt FROM (SELECT *, {slot} AS slot FROM {source})"
+    rank = f"row_number() OVER (PARTITION BY shard, nxt IS NULL ORDER BY md5('{SEED}:left:' || shard || ':' || block), block)"
+    n = "max(block) OVER (PARTITION BY shard) + 1"
+    return f"""SELECT {columns}, CAST(coalesce(nxt - {BUFFER}, greatest(0, {n} - {BUFFER}) + {rank} - 1) AS BIGINT) AS position FROM ({chain})"""
+
 
 STEPS["train_val"] = (
     ("split_block",),
-    f"""SELECT 'train' AS split, shard, block, ids, {_POSITION.format(groups='shard,')} AS position
-        FROM split_block WHERE split = 'train' AND len(ids) = {BLOCK}
+    f"""{_shuffled(f"(SELECT * FROM split_block WHERE split = 'train' AND len(ids) = {BLOCK})", "split, shard, block, ids")}
         UNION ALL SELECT 'val', shard, block, ids, block FROM split_block WHERE split = 'validation'""",
 )
 STEPS["train_val_pairs"] = (
@@ -420,7 +426,7 @@ ORACLES: dict[str, str] = {
     "train_val_blocks": sql("train_val", f"SELECT split, position, {_SHOWN_BLOCK} FROM train_val"),
     "shuffle_blocks": sql(
         "pack_block",
-        f"SELECT CAST(shard AS INTEGER) AS shard, block, {_POSITION.format(groups='shard,')} AS position FROM pack_block",
+        _shuffled("pack_block", "CAST(shard AS INTEGER) AS shard, block"),
     ),
     "batch_blocks": sql(
         "pack_block",
@@ -470,6 +476,13 @@ ORACLES: dict[str, str] = {
         """SELECT split, CAST(sum(n) AS BIGINT) AS n, round(sum(n * nll) / sum(n), 6) AS nll,
                   round(exp(least(sum(n * nll) / sum(n), 20)), 6) AS perplexity FROM losses GROUP BY split""",
     ),
+    "perplexity_levels": sql(
+        "losses",
+        """SELECT CAST(level AS INTEGER) AS level, split, CAST(shard AS INTEGER) AS shard, CAST(batch_id AS BIGINT) AS batch_id,
+                  CAST(n AS BIGINT) AS n, round(nll, 6) AS nll, round(exp(least(nll, 20)), 6) AS perplexity FROM (
+             SELECT grouping_id(split, shard, batch_id) AS level, split, shard, batch_id, sum(n) AS n, sum(n * nll) / sum(n) AS nll
+             FROM losses GROUP BY GROUPING SETS ((split, shard, batch_id), (split), ()))""",
+    ),
     "finite_loss_check": sql(
         "losses",
         """SELECT count(*) AS "groups", CAST(sum(CASE WHEN isfinite(nll) THEN 0 ELSE 1 END) AS BIGINT) AS non_finite FROM losses""",

@@ -545,6 +545,14 @@ def perplexity(spark, sf_dir):
     return losses.select("doc_id", "n", rounded("nll"), rounded("perplexity"))
 
 
+@query
+def perplexity_levels(spark, sf_dir):
+    """Loss and perplexity per batch, per split, and of all."""
+    pairs, scores, size = _scorer(spark, sf_dir)
+    rows = sc.loss_levels(pairs, scores, size)
+    return rows.select("level", "split", "shard", "batch_id", "n", rounded("nll"), rounded("perplexity"))
+
+
 @query
 def train_val_loss(spark, sf_dir):
     per_split = sc.perplexity(sc.total_loss(_losses(spark, sf_dir), ["split"]))
