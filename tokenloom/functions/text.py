@@ -1,8 +1,7 @@
-"""Line cleaning as column expressions. Everything but entity decoding and NFKC stays in the JVM."""
+"""Line cleaning as column expressions. Everything but NFKC stays in the JVM."""
 
 from __future__ import annotations
 
-import html
 import re
 import sys
 import unicodedata
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenloom.config import CleaningConfig
+from tokenloom.functions.entities import decoded_references
 
 # The code points Python's `re` and `str.strip` treat as white space, and the characters kept.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -34,11 +34,6 @@ _UNWANTED = _all_but(KEPT_CHARS)
 _SPECIAL = _all_but(KEPT_CHARS + WHITESPACE)
 
 
-@F.arrow_udf(T.StringType())
-def _unescape(texts: pa.Array) -> pa.Array:
-    return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
-
-
 def _normalizer(form: str):
     @F.arrow_udf(T.StringType())
     def normalize(texts: pa.Array) -> pa.Array:
@@ -50,8 +45,8 @@ def _normalizer(form: str):
 
 
 def html_unescape(text: Column) -> Column:
-    """Decode HTML entities. Rows without ``&`` hand Python a null and keep their JVM string."""
-    return F.coalesce(_unescape(F.when(F.contains(text, F.lit("&")), text)), text)
+    """Decode HTML entities by built-in functions; only rows with ``&`` are taken apart."""
+    return decoded_references(text)
 
 
 def unicode_normalize(text: Column, form: str | None = "NFKC") -> Column:
