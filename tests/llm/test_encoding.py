@@ -52,6 +52,15 @@ def test_word_documents(spark, texts):
     assert trie_bpe.encode_documents(docs.limit(0), WORD).collect() == []
 
 
+def test_digests_beside_columns_of_the_same_names(spark):
+    rows = spark.createDataFrame([(1, [5, 6], "own", 2), (2, None, "own", 3)], "doc_id long, ids array<int>, n_tokens string, IDS_sha256 int")
+    out = trie_bpe.digests(rows, WORD)
+    assert out.columns == ["doc_id", "n_tokens", "IDS_sha256", "_n_tokens", "_ids_sha256", "decoded_sha256"]
+    got = {r.doc_id: (r.n_tokens, r["IDS_sha256"], r._n_tokens) for r in out.collect()}
+    assert got == {1: ("own", 2, 2), 2: ("own", 3, 0)}
+    assert trie_bpe.digests(rows.limit(0), WORD).collect() == []
+
+
 def test_token_files(spark, texts, tmp_path):
     library = Tokenizer.from_file(BYTE[1])
     rows = [(i * 3, t, "x") for i, t in enumerate(texts[:200])] + [(6, ODD[2], "x")]

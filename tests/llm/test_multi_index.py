@@ -53,3 +53,13 @@ def test_few_and_no_rows(spark, table):
     few = nearest(frame(spark, table[:3]).filter("vec_id < 3")).collect()
     assert sorted((r.query_id, r.rank) for r in few) == [(0, 1), (0, 2)]
     assert nearest(frame(spark, table[:3]).limit(0)).collect() == []
+
+
+def test_finite_vectors_of_any_size(spark):
+    rnd = np.random.default_rng(9)
+    v = rnd.normal(size=(120, 6))
+    sizes = np.array([1.0, 1e200, 1e-200, 1e300, 1e-300])[np.arange(120) % 5]
+    table = spark.createDataFrame([(i, (row * s).tolist()) for i, (row, s) in enumerate(zip(v, sizes))], "vec_id long, embedding array<double>")
+    got = nearest(table, index=MultiIndex(**{**SMALL.__dict__, "share": 1.0})).collect()
+    want = exact_nearest(v, np.arange(120))
+    assert {(r.query_id, r.rank): r.vec_id for r in got} == {(q, n + 1): i for q, found in want.items() for n, (i, _) in enumerate(found)}

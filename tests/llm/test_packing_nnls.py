@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tokenloom.llm.packing import combinations, nnls, pack_documents, plan_rests
+from tokenloom.llm.packing import code_type, combinations, nnls, pack_documents, plan_rests
 
 BYTE = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -81,3 +81,14 @@ def test_packed_documents(spark):
     sums = {(r.doc_id, r.start, r.ids_crc32) for r in pack_documents(docs, *BYTE, end_id=1, checksums=True).collect()}
     assert sums == {(r.doc_id, r.start, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in got}
     assert pack_documents(docs.limit(0), *BYTE, end_id=1).collect() == []
+
+
+def test_ids_beyond_two_bytes(spark, tmp_path):
+    """A larger vocabulary, or end id, takes four bytes an id; the ids are those of the library."""
+    assert code_type(BYTE[1], 1).itemsize == 2 and code_type(BYTE[1], 70_000).itemsize == 4
+    docs = spark.createDataFrame([(i, "some words " * i) for i in range(30)], "doc_id long, text string")
+    library = Tokenizer.from_file(BYTE[1])
+    whole = {}
+    for r in pack_documents(docs, *BYTE, end_id=70_000).orderBy("doc_id", "start").collect():
+        whole.setdefault(r.doc_id, []).extend(r.ids)
+    assert whole == {i: library.encode("some words " * i, add_special_tokens=False).ids + [70_000] for i in range(30)}

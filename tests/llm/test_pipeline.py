@@ -74,3 +74,11 @@ def test_stages(spark, folder):
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == set(cut)
     ends = pieces.filter(F.col("start") + F.col("length") == F.col("doc_tokens")).select("doc_id", F.element_at("ids", -1).alias("last")).collect()
     assert len(ends) == len(cut) and {r["last"] for r in ends} == {corpus_pipeline.END_ID}
+
+
+def test_repeats_leave_beside_a_column_of_the_same_name(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, text, "own", 5), (2, "x " + text, "own", 6)], "doc_id long, text string, deduped string, n_chars long")
+    out = corpus_pipeline.without_repeats(spark, docs, "")
+    assert out.columns == docs.columns
+    assert {tuple(r) for r in out.collect()} == {(1, text, "own", 5), (2, "x", "own", 1)}

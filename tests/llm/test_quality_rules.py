@@ -1,10 +1,12 @@
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tokenloom.llm import queries
 from tokenloom.llm.quality_rules import COUNTS, RULES, Rule, keep_good, quality_rules
 
 
@@ -64,3 +66,15 @@ def test_language_without_stop_words(spark):
     rows = [(0, polish, "pl"), (1, polish, "en"), (2, polish, None), (3, "spam " * 80, "pl")]
     got = {r.doc_id: set(r.failed_rules) for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert got[0] == set() and got[1] == got[2] == {"stop_words"} and "repetition" in got[3] and "stop_words" not in got[3]
+
+
+def test_query_and_sql_agree_on_other_languages(spark, tmp_path):
+    """Languages without a list of stop words, and none at all."""
+    words = [f"slowo{i}" for i in range(90)]
+    rows = [(i, " ".join(words), lang) for i, lang in enumerate(["pl", None, "en", "", "de"])] + [(9, None, "pl"), (10, "x", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r) for r in queries.op9_quality_rules(spark, str(tmp_path)).collect()}
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = db.execute(f"SELECT doc_id, {', '.join(COUNTS)}, base_failed, kept FROM ({queries.ORACLES['op9_quality_rules']})").fetchall()
+    assert got == set(want) and {r[0] for r in got if r[-1]} == {0, 3}

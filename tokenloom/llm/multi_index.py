@@ -55,8 +55,7 @@ def _rows_of(lists: pa.ListArray) -> Iterator[np.ndarray | None]:
     for i in range(len(lists)):
         lo, hi = offsets[i], offsets[i + 1]
         own = flat[lo:hi]
-        norm = float(np.sqrt((own.astype(np.float64) ** 2).sum())) if hi > lo else 0.0
-        usable = valid[i] and not bad[lo:hi].any() and norm > 0 and np.isfinite(norm)
+        usable = valid[i] and not bad[lo:hi].any() and own.any()
         yield np.ascontiguousarray(own) if usable else None
 
 
@@ -90,7 +89,13 @@ def _entry_rows(held: dict[bytes, list[int]]) -> pa.RecordBatch:
     )
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, so that squares neither overflow nor vanish; no digit changes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(-1, keepdims=True))[1])
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = _scaled(vectors)
     return vectors / np.sqrt((vectors**2).sum(1))[:, None]
 
 
@@ -182,6 +187,7 @@ def _visits(left: np.ndarray, right: np.ndarray, counts: np.ndarray, first_block
 
 def cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Row by row in double precision, so that a pair has one score wherever it is computed."""
+    query, vectors = _scaled(query), _scaled(vectors)
     return (vectors * query).sum(1) / (np.sqrt((vectors**2).sum(1)) * np.sqrt((query**2).sum()))
 
 
@@ -199,7 +205,7 @@ def _ranked(top: int):
                 if not len(seen):
                     continue
                 query = np.frombuffer(q, np.float64)
-                rough = u[seen] @ (query / np.sqrt((query**2).sum()))
+                rough = u[seen] @ (unit(query[None])[0])
                 if len(seen) > top:
                     floor = np.partition(rough, len(seen) - top)[len(seen) - top]
                     seen = seen[rough >= floor - 1e-9]

@@ -12,6 +12,7 @@ so the plan is joined on the length, and no group of equal lengths needs to come
 
 from __future__ import annotations
 
+import json
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -185,20 +186,25 @@ def _greedy(plan: Plan, counts: np.ndarray, left: np.ndarray, window: int) -> No
         plan.sequences += repeat
 
 
-# Ids between the steps are bytes, two for each while all ids fit in them: nothing looks at single ids there.
+# Ids between the steps are bytes: nothing looks at single ids there.
 _ENCODED = "doc_id long, row long, n long, codes binary"
-CODE = np.dtype("<u2")
 
 
-def _encode(ranks: str, vocabulary: str, end_id: int):
+def code_type(vocabulary: str, end_id: int) -> np.dtype:
+    """Two bytes an id if all ids of the vocabulary file and the end id fit in them, else four."""
+    with open(vocabulary, encoding="utf-8") as f:
+        known = json.load(f)
+    ids = [end_id, *known["model"]["vocab"].values(), *[t["id"] for t in known.get("added_tokens") or []]]
+    return np.dtype("<u2") if max(ids) <= np.iinfo(np.uint16).max else np.dtype("<u4")
+
+
+def _encode(ranks: str, vocabulary: str, end_id: int, code: np.dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for rows, ids, offsets in encoded_rows(batches, text_slices, ranks, vocabulary, end_id):
             n = rows.num_rows
-            if len(ids) and int(ids.max()) > np.iinfo(CODE).max:
-                raise ValueError("the vocabulary is too large for two bytes an id")
-            data = pa.py_buffer(ids.astype(CODE).tobytes())
-            places = pa.py_buffer((offsets * CODE.itemsize).astype(np.int32).tobytes())
+            data = pa.py_buffer(ids.astype(code).tobytes())
+            places = pa.py_buffer((offsets * code.itemsize).astype(np.int32).tobytes())
             codes = pa.Array.from_buffers(pa.binary(), n, [None, places, data])
             yield pa.RecordBatch.from_arrays(
                 [rows.column("doc_id"), pa.array(np.arange(row, row + n)), pa.array(np.diff(offsets)), codes],
@@ -209,24 +215,24 @@ def _encode(ranks: str, vocabulary: str, end_id: int):
     return run
 
 
-def _cut(checksums: bool):
+def _cut(checksums: bool, code: np.dtype):
     """The ids of each piece, or their checksum, some documents at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from _cut_batch(batch, checksums)
+            yield from _cut_batch(batch, checksums, code)
 
     return run
 
 
-def _cut_batch(batch: pa.RecordBatch, checksums: bool) -> Iterator[pa.RecordBatch]:
+def _cut_batch(batch: pa.RecordBatch, checksums: bool, code: np.dtype) -> Iterator[pa.RecordBatch]:
     if batch.num_rows:
         codes, pieces = batch.column("codes").cast(pa.large_binary()), batch.column("pieces")
         values = np.frombuffer(codes.buffers()[2], np.uint8)
         offsets = np.frombuffer(codes.buffers()[1], np.int64)[codes.offset : codes.offset + len(codes) + 1]
         first = int(offsets[0])
-        values = values[first : int(offsets[-1])].view(CODE)
-        offsets = (offsets - first) // CODE.itemsize
+        values = values[first : int(offsets[-1])].view(code)
+        offsets = (offsets - first) // code.itemsize
         fields = {f: pieces.values.field(f).to_numpy(zero_copy_only=False) for f in ("start", "length", "sequence_id", "offset")}
         spans = pieces.offsets.to_numpy()
         lo = 0
@@ -279,7 +285,8 @@ def pack_documents(
     repeat an id are documents of their own, null ids are kept, an empty table gives no pieces. Other columns are not read.
     """
     picked = docs.select(col(docs, id_col).cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
-    encoded = staged(picked.mapInArrow(_encode(ranks, vocabulary, end_id), _ENCODED), "encoded", compression="zstd")
+    code = code_type(vocabulary, end_id)
+    encoded = staged(picked.mapInArrow(_encode(ranks, vocabulary, end_id, code), _ENCODED), "encoded", compression="zstd")
     sizes = encoded.select("row", "n", (F.col("n") % window).cast("int").alias("rest"), F.expr(f"n div {window}").alias("whole"), "doc_id")
     # Ranks among all rests in the order of their length, and whole windows before each document in that order.
     ordered = running_sums(sizes.withColumn("one", F.lit(1)), ["rest", "doc_id", "row"], {"index": "one", "whole_before": "whole"})
@@ -318,4 +325,4 @@ def pack_documents(
         F.lit(0).cast("long").alias("offset"),
     )
     pieces = rests.unionByName(full).groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence_id", "offset")).alias("pieces"))
-    return encoded.join(pieces, "row").select("doc_id", "n", "codes", "pieces").mapInArrow(_cut(checksums), _PIECES + (", ids_crc32 long" if checksums else ", ids array<int>"))
+    return encoded.join(pieces, "row").select("doc_id", "n", "codes", "pieces").mapInArrow(_cut(checksums, code), _PIECES + (", ids_crc32 long" if checksums else ", ids array<int>"))

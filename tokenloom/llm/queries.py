@@ -69,7 +69,7 @@ rep AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM again, range
 ln AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM ln
         WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
-counts AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words,
+counts AS (SELECT d.doc_id, d.lang, len(ws)::BIGINT AS n_words,
         length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
@@ -82,9 +82,12 @@ counts AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words,
 def _passes(rule: rules.Rule) -> str:
     parts = [p.strip() for p in rule.metric.split("/")]
     value = parts[0] if len(parts) == 1 else f"(CASE WHEN {parts[1]} = 0 THEN 0 ELSE {parts[0]}::DOUBLE / {parts[1]} END)"
-    return " AND ".join(
+    passes = " AND ".join(
         [f"{value} >= {rule.low}"] * (rule.low is not None) + [f"{value} <= {rule.high}"] * (rule.high is not None)
     )
+    # Stop words judge no document of a language without a list; a null language is judged.
+    listed = ", ".join(f"'{k}'" for k in rules.STOP_WORDS)
+    return f"(coalesce(lang NOT IN ({listed}), FALSE) OR {passes})" if "n_stop_words" in rule.metric else passes
 
 
 RULES_KEPT_SQL = " AND ".join(_passes(r) for r in rules.RULES)
@@ -315,7 +318,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op12_periodic_runs"] = r"""WITH
 codes AS (SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
     lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
-d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS ws,
+d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws,
     xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
         lambda acc, x: xor(acc >> 8, t[(xor(acc, x) & 255) + 1])), 4294967295) AS h FROM documents, codes),
 g AS (SELECT *, len(ws) AS n, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM d),
@@ -349,7 +353,8 @@ def _mixture_sql(plan: mixture.Mixture = mixture.Mixture()) -> str:
     up, down, most = *plan.share, plan.share[1] * plan.epochs
     weights = f"[{', '.join(map(str, plan.weights))}]"
     return rf"""WITH
-    d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size,
+    d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS size,
         md5('{plan.seed}|' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
     s AS (SELECT source, sum(size) AS n, {weights}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(plan.weights)}) + 1] AS w FROM d GROUP BY source),
     r AS (SELECT *, sum(n) OVER () AS total, sum(w) OVER () AS all_w,

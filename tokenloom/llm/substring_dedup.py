@@ -23,7 +23,6 @@ from tokenloom.llm.common import (
     drop_staged,
     fresh,
     joined_hashes,
-    kept_names,
     staged,
     text_of,
     text_slices,
@@ -111,7 +110,7 @@ def _extended(window: int, seed: int):
 
 
 def repeated_windows(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """For each id the list of of its windows that a smaller id has too. Null ids take no part."""
+    """For each id the list of its windows that a smaller id has too. Null ids take no part."""
     docs = docs.filter(F.col(_ID).isNotNull()).select(_ID, _TEXT)
     seeds = docs.mapInArrow(_seeds(window, seed), f"key long, {_ID} long")
     shared = staged(_several(seeds).select("key"), "seeds")
@@ -164,18 +163,29 @@ def _removed(window: int, seed: int, out: str):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and a struct ``deduped`` (or ``_deduped`` ...): ``text, n_words, n_removed, spans``.
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text", out: str = "deduped"
+) -> DataFrame:
+    """All columns of ``docs`` and a struct ``out``: ``text, n_words, n_removed, spans``.
 
     A word goes if a window of ``window`` words that holds it also starts in a document with a smaller id; all
     windows are judged on the input. Words are runs of non-space characters, as they are. ``spans`` are the maximal
     removed runs as word numbers, ``text`` the kept runs, as they stood, joined by a space. Equal ids don't
     remove from each other, nulls and empty texts have no words, rows with a null id stay whole and remove nothing,
-    an empty table gives an empty one.
+    an empty table gives an empty one. If ``docs`` has a column ``out``, the struct's name gets underscores in front, as
+    :func:`~tokenloom.llm.common.fresh` tells; columns named like the working ones step aside meanwhile.
     """
-    out = fresh(docs, "deduped")[0]
-    keyed = docs.select(*kept_names(docs), col(docs, id_col).cast("long").alias(_ID), text_of(docs, text_col).alias(_TEXT))
+    out = fresh(docs, out)[0]
+    working = {_ID, _TEXT, _LIST}
+    aside = dict(zip(docs.columns, docs.columns, strict=True))
+    for c in docs.columns:
+        if c.lower() in working:
+            aside[c] = fresh(docs, *working, "_aside_" + c)[-1]
+    keyed = docs.select(
+        *[col(docs, c).alias(a) for c, a in aside.items()], col(docs, id_col).cast("long").alias(_ID), text_of(docs, text_col).alias(_TEXT)
+    )
     joined = keyed.join(repeated_windows(keyed, window, seed), _ID, "left")
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
+    schema = ", ".join(f"`{aside[c]}` {t}" for c, t in docs.dtypes)
     kinds = "struct<text: string, n_words: long, n_removed: long, spans: array<struct<start: long, end: long>>>"
-    return joined.mapInArrow(_removed(window, seed, out), f"{schema}, `{out}` {kinds}")
+    done = joined.mapInArrow(_removed(window, seed, out), f"{schema}, `{out}` {kinds}")
+    return done.select(*[col(done, a).alias(c) for c, a in aside.items()], out)

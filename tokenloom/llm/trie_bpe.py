@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tokenloom.llm.byte_bpe import task_cache
-from tokenloom.llm.common import fresh, kept_names, text_slices
+from tokenloom.llm.common import col, fresh, kept_names, text_slices
 
 END = "</w>"
 #: Chunks, and words, whose ids a task keeps, and the longest that it keeps.
@@ -281,7 +281,13 @@ def _ddl(df: DataFrame) -> str:
 
 def digests(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """For ``ids_col``: ``n_tokens`` (long), ``ids_sha256`` of the ids as little-endian unsigned 32-bit integers, and
-    ``decoded_sha256`` of the decoded text in UTF-8, which is decoded and hashed row by row. Null ids count as none."""
+    ``decoded_sha256`` of the decoded text in UTF-8, which is decoded and hashed row by row. Null ids count as none.
+
+    The other columns are kept; a new name that one of them has gets underscores in front. An empty table gives an empty
+    one. A text of any length is one row in one task, whose decoded form is held once.
+    """
+    kept = [n for n in rows.columns if n != ids_col]
+    names_out = fresh(rows.select(*[col(rows, n) for n in kept]), "n_tokens", "ids_sha256", "decoded_sha256")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = token_names(path)
@@ -292,11 +298,11 @@ def digests(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
                 counts.append(len(ids))
                 sums.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 texts.append(hashlib.sha256(decoded(ids, names).encode()).hexdigest())
-            kept = [n for n in batch.schema.names if n != ids_col]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(n) for n in kept], pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())],
-                names=[*kept, "n_tokens", "ids_sha256", "decoded_sha256"],
+                names=[*kept, *names_out],
             )
 
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != ids_col)
-    return rows.mapInArrow(run, f"{schema}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kinds = [f"`{c}` {t}" for c, t in rows.dtypes if c != ids_col]
+    kinds += [f"`{n}` {t}" for n, t in zip(names_out, ("long", "string", "string"), strict=True)]
+    return rows.mapInArrow(run, ", ".join(kinds))
