@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm import jaccard_join, packing, quality_lm, quality_rules, substring_dedup
-from tokenloom.llm.common import drop_staged, staged
+from tokenloom.llm.common import drop_staged, fresh, kept_names, staged
 from tokenloom.llm.queries import byte_files, table
 
 END_ID = 1
@@ -33,11 +33,11 @@ def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that a smaller id has; ``n_chars`` counts what is left. Untouched texts stay as they are."""
-    done = substring_dedup.remove_repeats(docs)
-    cut = F.col("deduped.n_removed") > 0
-    text = F.when(cut, F.col("deduped.text")).otherwise(F.col("text"))
-    done = done.withColumn("n_chars", F.when(cut, F.length("deduped.text").cast("long")).otherwise(F.col("n_chars")))
-    return done.withColumn("text", text).select(*docs.columns)
+    out = fresh(docs, "deduped")[0]
+    done = substring_dedup.remove_repeats(docs, out=out)
+    left, cut = F.col(out)["text"], F.col(out)["n_removed"] > 0
+    done = done.withColumn("n_chars", F.when(cut, F.length(left).cast("long")).otherwise(F.col("n_chars")))
+    return done.withColumn("text", F.when(cut, left).otherwise(F.col("text"))).select(*kept_names(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
