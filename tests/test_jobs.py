@@ -127,6 +127,43 @@ def test_prompts_prediction_and_stripping(spark):
     assert [r.text for r in inf.strip_prompt(outputs, tok).collect()] == ["lowlow", ""]
 
 
+def test_prediction_by_length(spark):
+    """Same scores as in the order of arrival, hardly any padding, one model a worker, tasks of equal work."""
+    rng = np.random.default_rng(3)
+    sizes = np.where(rng.random(3000) < 0.4, 7, rng.integers(0, 400, 3000))  # one length holds a good third
+    prompts = spark.createDataFrame([(i, list(range(int(n)))) for i, n in enumerate(sizes)], "k long, input_ids array<int>").repartition(6)
+    built = spark.sparkContext.accumulator(0)
+
+    def make():
+        import os
+
+        built.add(1)
+        return lambda ids, mask: np.stack([mask.sum(1), np.where(mask == 1, ids, 0).sum(1), np.full(len(ids), os.getpid())], 1)
+
+    shares, scores = {}, {}
+    for near in (False, True):
+        padding, before = inf.Padding(spark), built.value
+        rows = inf.batch_predict(prompts, make, ("k",), 0, 32, near, padding).collect()
+        assert len(rows) == 3000 and all(r.logits[:2] == [sizes[r.k], sum(r.input_ids)] for r in rows)
+        assert built.value - before == len({r.logits[2] for r in rows})
+        scores[near], shares[near] = {r.k: r.logits[:2] for r in rows}, padding.share
+    assert scores[True] == scores[False] and shares[True] < 0.05 < 0.4 < shares[False]
+    parts = inf.by_length(prompts, ["k"], 8).select(F.spark_partition_id().alias("p"), F.size("input_ids").alias("n"))
+    work = sorted(r.w for r in parts.groupBy("p").agg(F.sum("n").alias("w")).collect())
+    assert len(work) == 8 and work[-1] < 1.3 * sum(work) / 8
+    assert inf.batch_predict(prompts.limit(0), make, ("k",), 0).collect() == []
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [5])], "k long, input_ids array<int>")
+    assert {r.k: r.logits[0] for r in inf.batch_predict(odd, make, ("k",), 0).collect()} == {1: 0.0, 2: 0.0, 3: 1.0}
+
+
+def test_length_parts_cover_the_histogram():
+    for counts in ({5: 1000}, {1: 1, 2: 1, 3: 1}, {0: 50, 9: 3}, {n: 10 for n in range(300)}):
+        parts = inf.length_parts(counts, 8)
+        assert [n for n, _, _ in parts] == sorted(counts)
+        assert all(0 <= first and first + width <= 8 and width > 0 for _, first, width in parts)
+        assert all(a[1] + a[2] - 1 <= b[1] for a, b in zip(parts, parts[1:]))
+
+
 def _arrive(spark, path, n, rows):
     spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{path}/{n:03d}")
 

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -5,12 +6,13 @@ from pyspark.sql import functions as F
 
 import plain
 from tokenloom.config import TokenizerConfig
+from tokenloom.functions.sql import register_tokenizer
 from tokenloom.functions.text import unicode_normalize
 from tokenloom.operators import encoding as enc
 from tokenloom.operators import merges as mg
 from tokenloom.operators import words as wd
 from tokenloom.operators.vocabulary import Merge, Tokenizer, TokenizerError, id_to_token, special_token_ids, token_to_id
-from tokenloom.sources.artifact import load_tokenizer, reuse_tokenizer, save_tokenizer
+from tokenloom.sources.artifact import export_json, import_json, load_tokenizer, reuse_tokenizer, save_tokenizer
 
 GOLDEN = ["low lower lowest", "low low new"]
 CFG = TokenizerConfig(vocab_size=20, min_frequency=1)
@@ -241,6 +243,57 @@ def test_artifact_round_trip_keeps_commas(spark, tmp_path):
     assert load_tokenizer(spark, f"{tmp_path}/tok") == tok
 
 
+def test_json_files_of_others(spark, tmp_path, golden):
+    """A file by hand, with a hole for each alias and merges over commas; then out and in again, and the same ids for all documents."""
+    special = dict(TokenizerConfig().special_tokens)
+    names = [*special.values(), *special, *" ,abx", "a,", ",b", ",,", "a,b", "xa"]
+    order = [t for t in names if t not in special]
+    ids = {t: i + (4 if t not in special.values() else 0) for i, t in enumerate(order)} | {a: order.index(t) for a, t in special.items()}
+    merges = {"a,,": "a,", ",,b": ",b", ",,,": ",,", "a,,,b": "a,,b", "a,b": "ab", "a,,b": "a,b", "x,a": "xa"}
+    ids |= {"a,,b": 40, "ab": 41}
+    state = {"config": {"vocab_size": 60, "min_frequency": 2, "cache_capacity": 9, "special_tokens": special}, "merges": merges,
+             "vocab": {"token_to_id": ids, "id_to_token": {str(i): t for t, i in ids.items() if t not in special}, "special_tokens": special}}
+    (tmp_path / "old.json").write_text(json.dumps(state))
+    tok = import_json(spark, f"{tmp_path}/old.json")
+    pairs = [(m.left, m.right) for m in tok.merges]
+    assert pairs[:3] == [("a", ","), (",", "b"), (",", ",")] and pairs[4:] == [("a", "b"), ("a,", "b"), ("x", "a")]
+    assert pairs[3] == ("a,", ",b") and tok.ids == ids and not tok.config.dense_ids and tok.config.vocab_size == 60
+    for given_ in (tok, golden):
+        export_json(spark, given_, f"{tmp_path}/new/file.json")
+        back = import_json(spark, f"{tmp_path}/new/file.json")
+        assert (back.ids, back.tokens, back.config) == (given_.ids, given_.tokens, given_.config)
+        assert [(m.left, m.right, m.merged) for m in back.merges] == [(m.left, m.right, m.merged) for m in given_.merges]
+        docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.lower("text").alias("text"))
+        one, two = (enc.encode_documents(docs, t) for t in (given_, back))
+        assert one.exceptAll(two).count() == 0
+    for broken in ("{", '{"config": {}}', json.dumps({**state, "merges": {"p,q": "pq"}})):
+        (tmp_path / "bad.json").write_text(broken)
+        with pytest.raises(TokenizerError):
+            import_json(spark, f"{tmp_path}/bad.json")
+    with pytest.raises(TokenizerError):
+        import_json(spark, f"{tmp_path}/none.json")
+
+
+def test_sql_functions_equal_the_operators(spark, tmp_path, golden):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "ﬁ low 'quoted' \\ back")], "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    docs.createOrReplaceTempView("sql_docs")
+    register_tokenizer(spark, golden, "gold")
+    out = spark.sql("SELECT doc_id, gold_encode(text) AS input_ids, gold_encode_line(text) AS line, gold_decode(gold_encode_line(text)) AS back FROM sql_docs")
+    got = {r.doc_id: (r.input_ids, r.line, r.back) for r in out.collect()}
+    want = {r.doc_id: r.input_ids for r in enc.encode_documents(docs, golden).collect()}
+    lines = enc.encode_texts(docs, golden)
+    text = {r.doc_id: (r.input_ids, r.text) for r in enc.decode_ids(lines, golden).collect()}
+    assert got == {d: (want[d], *text[d]) for d in want}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("gold_word_ids(") == 1  # encoded once for all three
+    assert [r.t for r in spark.sql("SELECT gold_token(id) AS t FROM VALUES (2), (-5), (NULL) AS v(id)").collect()] == ["[BOS]", "[UNK]", None]
+    with pytest.raises(ValueError):
+        register_tokenizer(spark, golden, "no name")
+
+
 def test_reuse(spark, tmp_path, golden):
     path, calls = f"{tmp_path}/tok", []
     with pytest.raises(TokenizerError):

@@ -34,7 +34,7 @@ _UNWANTED = _all_but(KEPT_CHARS)
 _SPECIAL = _all_but(KEPT_CHARS + WHITESPACE)
 
 
-def _normalizer(form: str):
+def normalizer(form: str):
     @F.arrow_udf(T.StringType())
     def normalize(texts: pa.Array) -> pa.Array:
         return pa.array(
@@ -53,7 +53,7 @@ def unicode_normalize(text: Column, form: str | None = "NFKC") -> Column:
     """Unicode normalization. Pure ASCII rows (as many bytes as characters) are never sent to Python."""
     if form is None:
         return text
-    return F.coalesce(_normalizer(form)(F.when(F.octet_length(text) != F.char_length(text), text)), text)
+    return F.coalesce(normalizer(form)(F.when(F.octet_length(text) != F.char_length(text), text)), text)
 
 
 def strip_text(text: Column) -> Column:

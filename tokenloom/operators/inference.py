@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+import sys
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tokenloom.functions.text import strip_text, with_computed
 from tokenloom.operators.encoding import decode_expr, encode_texts
 from tokenloom.operators.vocabulary import Tokenizer
+from tokenloom.staging import stage
 
 # ids [batch, width] and mask [batch, width] -> logits [batch, vocabulary]
 Predict = Callable[[np.ndarray, np.ndarray], np.ndarray]
@@ -37,21 +40,83 @@ def strip_prompt(
     return outputs.withColumn("text", decode_expr(rest, tokenizer))
 
 
+class Padding:
+    """Real and all positions of the batches that a predictor got, added up over all tasks."""
+
+    def __init__(self, spark: SparkSession):
+        self._real, self._all = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def add(self, mask: np.ndarray) -> None:
+        self._real.add(int(mask.sum()))
+        self._all.add(int(mask.size))
+
+    @property
+    def share(self) -> float:
+        """The share of positions that is padding, once the rows were computed. Repeated tasks count again."""
+        return 1 - self._real.value / self._all.value if self._all.value else 0.0
+
+
+def length_parts(counts: Mapping[int, int], parts: int) -> list[tuple[int, int, int]]:
+    """Cut a histogram of lengths into ``parts`` of about equal numbers of positions: ``length, first, width`` for each length.
+
+    Rows of a length are spread over ``width`` parts from ``first``, so that a length of any frequency is cut as well, and each
+    part holds neighbouring lengths only.
+    """
+    total = max(1, sum(max(1, n) * c for n, c in counts.items()))
+    out, before = [], 0
+    for n in sorted(counts):
+        own = max(1, n) * counts[n]
+        first, last = before * parts // total, max(before, before + own - 1) * parts // total
+        out.append((n, first, last - first + 1))
+        before += own
+    return out
+
+
+def by_length(prompts: DataFrame, keys: Sequence[str], parts: int, ids_col: str = "input_ids") -> DataFrame:
+    """The rows dealt to ``parts`` by length and sorted by it within them: near lengths stand next to each other.
+
+    ``prompts`` should be a written table, since its histogram is read first. That has a row per length, at most as many as
+    the longest prompt has tokens; it is broadcast back.
+    """
+    size = F.coalesce(F.size(ids_col), F.lit(0))
+    counts = {r.n: r.c for r in prompts.groupBy(size.alias("n")).agg(F.count("*").alias("c")).collect()}
+    if not counts:
+        return prompts
+    table = prompts.sparkSession.createDataFrame(length_parts(counts, parts), "_n int, _first int, _width int")
+    placed = prompts.withColumn("_n", size).join(F.broadcast(table), "_n")
+    part = F.col("_first") + F.pmod(F.xxhash64(*keys), F.col("_width"))
+    return placed.repartitionById(parts, part.cast("int")).sortWithinPartitions("_n", *keys).drop("_n", "_first", "_width")
+
+
+def _model_of_worker(tag: str, make_predict: Callable[[], Predict]) -> Predict:
+    """The predictor of this Python worker, which Spark keeps from task to task; another call's predictor makes room."""
+    held = sys.__dict__.setdefault("_predictor_of_worker", {})
+    if tag not in held:
+        held.clear()
+        held[tag] = make_predict()
+    return held[tag]
+
+
 def batch_predict(
     prompts: DataFrame,
     make_predict: Callable[[], Predict],
     keys: tuple[str, ...],
     pad: int,
     batch_size: int = 64,
+    near_lengths: bool = True,
+    padding: Padding | None = None,
 ) -> DataFrame:
-    """``keys, input_ids, logits``: next-token scores, one array per prompt, from a predictor built once per task.
+    """``keys, input_ids, logits``: next-token scores, one array per prompt, from a predictor built once per Python worker.
 
-    Rows are padded on the right to the longest of their batch; the mask tells real positions. ``posexplode`` of the
+    Rows are padded on the right to the longest of their batch; the mask tells real positions. With ``near_lengths`` the
+    prompts are written and dealt out by length first (:func:`by_length`), so that batches hardly pad and tasks have equal
+    work; else they are taken as they lie. ``padding`` counts either way. A null prompt is an empty one. ``posexplode`` of the
     array gives one row per token for the operators in :mod:`candidates`; :func:`next_token_draw` works on the array.
     """
+    tag = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predict = make_predict()
+        predict = _model_of_worker(tag, make_predict)
         for arrow in batches:
             for at in range(0, arrow.num_rows, batch_size):
                 part = arrow.slice(at, batch_size)
@@ -60,6 +125,8 @@ def batch_predict(
                 mask = np.arange(np.diff(offsets).max(initial=0))[None, :] < np.diff(offsets)[:, None]
                 ids = np.full(mask.shape, pad, np.int64)
                 ids[mask] = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+                if padding is not None:
+                    padding.add(mask)
                 logits = np.asarray(predict(ids, mask.astype(np.int64)), dtype=np.float64)
                 n, v = logits.shape
                 rows = pa.ListArray.from_arrays(pa.array(np.arange(0, n * v + 1, v, dtype=np.int32)), pa.array(logits.ravel()))
@@ -69,7 +136,12 @@ def batch_predict(
 
     ids, scores = T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType())
     schema = T.StructType([*[prompts.schema[k] for k in keys], T.StructField("input_ids", ids), T.StructField("logits", scores)])
-    return prompts.select(*keys, "input_ids").mapInArrow(run, schema)
+    rows = prompts.select(*keys, "input_ids")
+    if near_lengths:
+        spark = prompts.sparkSession
+        tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        rows = by_length(stage(rows, "prompts"), keys, tasks)
+    return rows.mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)

@@ -64,6 +64,16 @@ def discard(spark: SparkSession, path: str) -> None:
     store.delete(folder, True)
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """One file, in whatever store Spark reaches at ``path``; its folder is made, an old file is replaced."""
+    file, store = _on_store(spark, path)
+    out = store.create(file, True)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+
+
 def stage(df: DataFrame, name: str, path: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and return the written table."""
     spark = df.sparkSession

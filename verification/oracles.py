@@ -417,6 +417,11 @@ ORACLES: dict[str, str] = {
         f"""SELECT count(*) AS lines, CAST(sum(CASE WHEN text = clean THEN 1 ELSE 0 END) AS BIGINT) AS unchanged
             FROM ({_decoded("framed", "doc_id, line_no", "names.id > 3")}) JOIN cl USING (doc_id, line_no)""",
     ),
+    "sql_encode": sql(
+        "enc framed names cl",
+        f"""SELECT doc_id, line_no, {_text('ids')} AS input_ids, text = clean AS unchanged FROM enc
+            JOIN ({_decoded("framed", "doc_id, line_no", "names.id > 3")}) USING (doc_id, line_no) JOIN cl USING (doc_id, line_no)""",
+    ),
     "shard_lines": sql("lines", "SELECT doc_id, line_no, CAST(line_no % 4 AS INTEGER) AS shard FROM lines"),
     "unpacked_samples": sql("sample", f"SELECT doc_id, line_no, {_text('ids')} AS input_ids FROM sample"),
     "append_eos": sql("enc", f"SELECT doc_id, line_no, {_text('ids || [3]')} AS input_ids FROM enc"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.config import CleaningConfig, JobConfig, LoaderConfig, TokenizerConfig
 from tokenloom.functions import text as tx
+from tokenloom.functions.sql import register_tokenizer
 from tokenloom.functions import tokens as tk
 from tokenloom.operators import batching as bt
 from tokenloom.operators import candidates as cd
@@ -694,6 +695,17 @@ def next_token_draw(spark, sf_dir):
     return out.select("conv_id", "turn", "token_id", rounded("logit"))
 
 
+@query
+def sql_encode(spark, sf_dir):
+    """All cleaned lines encoded and decoded again in SQL."""
+    register_tokenizer(spark, fitted(spark, sf_dir), "bpe")
+    clean(spark, sf_dir).createOrReplaceTempView("clean_lines_of_query")
+    return spark.sql(
+        """SELECT doc_id, line_no, array_join(cast(bpe_encode(clean) AS array<string>), ' ') AS input_ids,
+                  bpe_decode(bpe_encode_line(clean)) = clean AS unchanged FROM clean_lines_of_query"""
+    )
+
+
 def _streamed_lines(spark, sf_dir) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
     return ln.doc_lines(sm.stream_documents(spark, f"{sf_dir}/documents.parquet*", schema, spread_by="doc_id"))
