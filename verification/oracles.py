@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-TRAINING_SIZE, SIZE = 256, 128  # tokens in the vocabularies
+SIZE = 256  # tokens in the vocabulary; its merges are as many steps as DuckDB nests by default
 SPECIALS = 4
 SHARDS = 2
 BLOCK = 128
@@ -15,7 +15,7 @@ _WS = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 # Every merge adds a token at most, and there is a character at least.
-_MERGE_LIST = range(TRAINING_SIZE - SPECIALS)
+_MERGE_LIST = range(SIZE - SPECIALS)
 
 
 def _unescape(x: str) -> str:
@@ -385,9 +385,9 @@ ORACLES: dict[str, str] = {
     "bpe_merges": sql(
         "merges",
         "SELECT CAST(rank AS INTEGER) AS rank, \"left\", \"right\", merged, pair_freq FROM merges",
-        size=TRAINING_SIZE,
+        size=SIZE,
     ),
-    "vocab_table": sql("vocab", "SELECT token, CAST(id AS INTEGER) AS id, kind FROM vocab", size=TRAINING_SIZE),
+    "vocab_table": sql("vocab", "SELECT token, CAST(id AS INTEGER) AS id, kind FROM vocab", size=SIZE),
     "encode_words": sql("done", "SELECT word, array_to_string(st, '|') AS tokens FROM done"),
     "encode_documents": sql("enc", f"SELECT doc_id, line_no, {_text('ids')} AS input_ids FROM enc"),
     "token_to_id": sql(

@@ -33,10 +33,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 CLEANING = CleaningConfig(min_length=20)
-# Training ends when the vocabulary is full: some 200 merges for what shows the training itself, and fewer for the
-# queries that only use a tokenizer, whose SQL repeats every merge.
-TRAINING = TokenizerConfig(vocab_size=256)
-TOKENIZER = TokenizerConfig(vocab_size=128)
+# One vocabulary of some 210 merges for all queries, whose SQL repeats every merge as a step; a larger one for the whole job.
+TOKENIZER = TokenizerConfig(vocab_size=256)
+JOB_TOKENIZER = TokenizerConfig(vocab_size=512)
 SHARDS = 2
 BLOCK = 128
 LINE = 64
@@ -103,14 +102,14 @@ def kept_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wd.word_filter(wd.word_counts(clean(spark, sf_dir), "clean"), TOKENIZER)
 
 
-_fitted: dict[tuple[str, str, int], Tokenizer] = {}
+_fitted: dict[tuple[str, str], Tokenizer] = {}
 
 
-def fitted(spark: SparkSession, sf_dir: str, cfg: TokenizerConfig = TOKENIZER) -> Tokenizer:
-    """The tokenizer of this folder's documents, trained once per session and size."""
-    key = (spark.sparkContext.applicationId, sf_dir, cfg.vocab_size)
+def fitted(spark: SparkSession, sf_dir: str) -> Tokenizer:
+    """The tokenizer of this folder's documents, trained once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _fitted:
-        _fitted[key] = mg.train_from_words(kept_words(spark, sf_dir), cfg)
+        _fitted[key] = mg.train_from_words(kept_words(spark, sf_dir), TOKENIZER)
     return _fitted[key]
 
 
@@ -166,14 +165,14 @@ def preview_sample(spark, sf_dir):
 @query
 def tokenizer_artifact(spark, sf_dir):
     path = new_path(spark, "tokenizer")
-    save_tokenizer(spark, fitted(spark, sf_dir, TRAINING), path)
+    save_tokenizer(spark, fitted(spark, sf_dir), path)
     return load_tokenizer(spark, path).merge_table(spark)
 
 
 @query
 def reuse_tokenizer_(spark, sf_dir):
     path = new_path(spark, "tokenizer")
-    reuse_tokenizer(spark, path, lambda: fitted(spark, sf_dir, TRAINING))
+    reuse_tokenizer(spark, path, lambda: fitted(spark, sf_dir))
     return reuse_tokenizer(spark, path).vocab_table(spark)
 
 
@@ -314,12 +313,12 @@ def apply_merge(spark, sf_dir):
 
 @query
 def bpe_merges(spark, sf_dir):
-    return fitted(spark, sf_dir, TRAINING).merge_table(spark)
+    return fitted(spark, sf_dir).merge_table(spark)
 
 
 @query
 def vocab_table(spark, sf_dir):
-    return fitted(spark, sf_dir, TRAINING).vocab_table(spark)
+    return fitted(spark, sf_dir).vocab_table(spark)
 
 
 # Encoding and decoding
@@ -737,5 +736,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job over the documents: clean, learn a vocabulary, encode, pack, shuffle, batch."""
     named = F.when(source_split() == "validation", "val").otherwise("train")
     rows = lines(spark, sf_dir).withColumn("split", named)
-    cfg = JobConfig(CLEANING, TOKENIZER, LOADER)
+    cfg = JobConfig(CLEANING, JOB_TOKENIZER, LOADER)
     return prepare_corpus(rows, cfg).batches
