@@ -25,7 +25,7 @@ CASES = {
     ),
     "layout classes": (f"<div class='layout has-sidebar'><div class=sidebar>{MENU}</div><article><p data-x='a hidden gem'>{PARAS[0]}</p></article></div>", WANT[:1]),
     "misnested": (f"<article><b><p>{PARAS[0]}</b> and  \n more</p><p>a &lt; b, 3 < 4 &amp;amp; &#8364;&nbsp;5</p></article>", [WANT[0] + " and more", "a < b, 3 < 4 &amp; € 5"]),
-    "comment and cdata": (f"<article><!-- <p>no</p> --><p>{PARAS[0]}</p><!----><!--></article>--><p>x</p>", WANT[:1]),
+    "comment and cdata": (f"<article><!-- <p>no</p> --><p>{PARAS[0]}</p><!----><!--></article>--><p>x</p>", [WANT[0], "-->", "x"]),
 }
 
 
@@ -33,7 +33,7 @@ CASES = {
 def test_pages(name):
     body, want = CASES[name]
     got = main_text(page(body)).split("\n\n")
-    assert got[: len(want)] == want and (name == "comment and cdata" or got == want)
+    assert got == want
 
 
 P = [f"<p>{p}</p>" for p in PARAS]
@@ -54,7 +54,7 @@ def test_articles_in_parts(name):
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("  \n") == main_text("<html></html>") == ""
     assert main_text("just text") == "just text"
-    assert main_text("<p>cut <b") == "cut <b" or main_text("<p>cut <b").startswith("cut")
+    assert main_text("<p>cut <b") == "cut"  # a tag that the page's end cuts off is no text
     deep = "<div>" * 20_000 + "deep" + "</span>" * 20_000 + "</div>" * 20_000
     assert main_text(deep) == "deep"
     assert len(main_text("<p>" + "word " * 300_000)) == 5 * 300_000 - 1
