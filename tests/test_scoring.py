@@ -117,6 +117,16 @@ def test_nucleus(scores, p):
     assert out == expected
 
 
+def test_nucleus_keeps_what_follows_a_sum_of_exactly_p(spark):
+    tied = [[5, 4, 1], [7, 2, 1], [16, 11, 3], [21, 6, 3], [26, 19, 4, 1]]
+    rows = [(g, t, math.log(n)) for g, counts in enumerate(tied) for t, n in enumerate(counts)]
+    rows += [(1000, t, math.log(n)) for t, n in enumerate([900_001, 99_999])]
+    df = spark.createDataFrame(rows, "group_id long, token_id int, logit double")
+    kept = Counter(r.group_id for r in cd.nucleus_candidates(df, 0.9).collect())
+    assert [kept[g] for g in range(len(tied))] == [len(counts) for counts in tied]
+    assert kept[1000] == 1
+
+
 def test_greedy(scores):
     rows, df = scores
     out = {r.group_id: r.token_id for r in cd.greedy_candidate(df).collect()}

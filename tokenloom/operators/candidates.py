@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tokenloom.functions.text import with_computed
 from tokenloom.functions.tokens import uniform_hash
 
+# Sums of probabilities that are equal as numbers differ by less than this after rounding.
+_ROUNDING = 1e-10
+
 
 def _ranked(by: Sequence[str]):
     return Window.partitionBy(*by).orderBy(F.desc("logit"), "token_id")
@@ -38,14 +41,15 @@ def topk_candidates(scores: DataFrame, k: int, by: Sequence[str] = ("group_id",)
 def nucleus_candidates(scores: DataFrame, p: float, by: Sequence[str] = ("group_id",)) -> DataFrame:
     """Keep the likeliest tokens while the probability before them is at most ``p``; ``p >= 1`` keeps all.
 
-    The token that crosses ``p`` and the top token always stay. Equal logits rank by token id.
+    The token that crosses ``p`` and the top token always stay. Equal logits rank by token id. A sum within 1e-10 of ``p``
+    counts as ``p``: counts of 5, 4 and 1 sum to 0.9 before the last one, however the doubles are rounded.
     """
     if p >= 1:
         return scores
     before = F.sum("prob").over(_ranked(by).rowsBetween(Window.unboundedPreceding, -1))
     ranked = softmax_temperature(scores, 1.0, by).withColumn("_before", F.coalesce(before, F.lit(0.0)))
     top = F.row_number().over(_ranked(by)) == 1
-    return ranked.withColumn("_top", top).filter(F.col("_top") | (F.col("_before") <= p)).drop("_before", "_top", "prob")
+    return ranked.withColumn("_top", top).filter(F.col("_top") | (F.col("_before") <= p + _ROUNDING)).drop("_before", "_top", "prob")
 
 
 def greedy_candidate(scores: DataFrame, by: Sequence[str] = ("group_id",)) -> DataFrame:
