@@ -11,18 +11,18 @@ from tokenloom.config import IGNORE_LABEL
 
 PAIR = ("prev_id", "next_id")
 
+# Rows of a score table that every task may hold: some 30 MB.
+_BROADCAST_PAIRS = 1 << 20
+
 
 def next_token_pairs(
     samples: DataFrame, keep: Sequence[str], ids_col: str = "input_ids", labels_col: str | None = None
 ) -> DataFrame:
     """``keep, pos, prev_id, next_id``: position i predicts the label at i + 1; ignored labels are skipped."""
     labels = labels_col or ids_col
-    zipped = F.arrays_zip(
-        F.slice(ids_col, F.lit(1), F.size(ids_col) - 1).alias("prev_id"),
-        F.slice(labels, F.lit(2), F.size(labels) - 1).alias("next_id"),
-    )
-    pairs = samples.filter(F.size(ids_col) > 1).select(*keep, F.posexplode(zipped).alias("pos", "pair"))
-    return pairs.select(*keep, "pos", "pair.prev_id", "pair.next_id").filter(F.col("next_id") != IGNORE_LABEL)
+    following = F.posexplode(F.slice(labels, F.lit(2), F.size(labels) - 1)).alias("pos", "next_id")
+    pairs = samples.filter(F.size(ids_col) > 1).select(*keep, F.col(ids_col).alias("_ids"), following)
+    return pairs.filter(F.col("next_id") != IGNORE_LABEL).select(*keep, "pos", F.get("_ids", F.col("pos")).alias("prev_id"), "next_id")
 
 
 def bigram_table(pairs: DataFrame, vocab_size: int) -> DataFrame:
@@ -46,18 +46,23 @@ def unseen_table(table: DataFrame, vocab_size: int) -> DataFrame:
 
 
 def _scored(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str]) -> DataFrame:
-    """``by, n, loss``: a row per group and distinct pair, with the negative log-likelihood of its ``n`` predictions together.
+    """``by, n, loss``: a row per group, with its predictions and their negative log-likelihood together.
 
-    Equal pairs of a group are counted before the lookup, so it joins one row per distinct pair and group. Whether
-    the score table is broadcast is left to its real size; where it is not, a pair found in nearly all groups makes a
-    skewed partition of the counted side, which adaptive execution splits.
+    The score table of a small vocabulary, which has ``vocab_size`` squared rows at most, is broadcast: every prediction is
+    scored where it lies, and a task sends one row per group that it holds a part of. The table of a larger one is joined by
+    its real size; equal pairs of a group are counted first there, so a pair found in nearly all groups makes a
+    skewed partition of the counted side at worst, which adaptive execution splits.
     A pair the table lacks scores as unseen after its first token, or uniformly if that is unknown too.
     The unseen scores have one row per token of the vocabulary, which bounds their broadcast.
     """
-    counted = pairs.groupBy(*by, *PAIR).agg(F.count("*").alias("n"))
-    scored = counted.join(table.select(*PAIR, "log_prob"), list(PAIR), "left").join(F.broadcast(unseen_table(table, vocab_size)), "prev_id", "left")
+    scores = table.select(*PAIR, "log_prob")
+    if vocab_size**2 <= _BROADCAST_PAIRS:
+        counted, scores = pairs.select(*by, *PAIR, F.lit(1).cast("bigint").alias("n")), F.broadcast(scores)
+    else:
+        counted = pairs.groupBy(*by, *PAIR).agg(F.count("*").alias("n"))
+    scored = counted.join(scores, list(PAIR), "left").join(F.broadcast(unseen_table(table, vocab_size)), "prev_id", "left")
     nll = -F.coalesce("log_prob", "unseen_log_prob", -F.log(F.lit(float(vocab_size))))
-    return scored.select(*by, "n", (F.col("n") * nll).alias("loss"))
+    return scored.groupBy(*by).agg(F.sum("n").alias("n"), F.sum(F.col("n") * nll).alias("loss"))
 
 
 def _means() -> list[Column]:
@@ -66,7 +71,7 @@ def _means() -> list[Column]:
 
 def masked_nll(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str] = ()) -> DataFrame:
     """``by, n, nll``: predictions and their mean negative log-likelihood, ignored labels left out."""
-    return _scored(pairs, table, vocab_size, by).groupBy(*by).agg(*_means())
+    return _scored(pairs, table, vocab_size, by).select(*by, "n", (F.col("loss") / F.col("n")).alias("nll"))
 
 
 def loss_levels(
@@ -78,7 +83,7 @@ def loss_levels(
 ) -> DataFrame:
     """Losses of every group of ``by`` and of the coarser ``levels`` at once: ``level, by, n, nll, perplexity``.
 
-    Pairs are looked up once, and one exchange adds all levels up from their sums, so a level is the mean over its
+    Pairs are looked up once, and all levels are added up from the sums of the groups, so a level is the mean over its
     predictions and not over its groups. ``level`` is the grouping id: a bit for each column of ``by``, the first one
     highest, set where the row is a total over that column (which is null in it).
     """
