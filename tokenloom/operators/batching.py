@@ -102,11 +102,14 @@ def split_samples(
     return samples.select(*groups, "block", "input_ids", F.size("input_ids").alias("n"))
 
 
+def whole_samples(samples: DataFrame, cfg: LoaderConfig) -> DataFrame:
+    """The samples that training reads: without the short remainder of each shard, if configured."""
+    return samples.filter(F.col("n") == cfg.max_length) if cfg.pack_sequences and cfg.drop_last_block else samples
+
+
 def train_samples(samples: DataFrame, cfg: LoaderConfig, groups: Sequence[str] = ("shard",)) -> DataFrame:
     """Training drops the short remainder of each shard, if configured, and shuffles."""
-    if cfg.pack_sequences and cfg.drop_last_block:
-        samples = samples.filter(F.col("n") == cfg.max_length)
-    return shuffle_blocks(samples, cfg.shuffle_buffer_size, cfg.seed, groups)
+    return shuffle_blocks(whole_samples(samples, cfg), cfg.shuffle_buffer_size, cfg.seed, groups)
 
 
 def val_samples(samples: DataFrame) -> DataFrame:
@@ -128,6 +131,11 @@ def train_val_blocks(
     """Samples of both splits: ``split, shard, block, input_ids, n, position``. One pass packs the two."""
     both = train_lines.withColumn("split", F.lit("train")).unionByName(val_lines.withColumn("split", F.lit("val")))
     samples = split_samples(both, encode, cfg, eos, text_col, ["split"], ascii_only, number_col, prepare)
+    return placed_samples(samples, cfg)
+
+
+def placed_samples(samples: DataFrame, cfg: LoaderConfig) -> DataFrame:
+    """Add ``position`` to the samples of both splits: shuffled in training, in reading order in validation."""
     train, val = (samples.filter(F.col("split") == s) for s in ("train", "val"))
     return train_samples(train, cfg).unionByName(val_samples(val))
 
