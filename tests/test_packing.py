@@ -210,3 +210,11 @@ def test_packed_loading_needs_no_shuffle_after_the_blocks(as_lines):
     plan = bt.loader_batches(bt.val_samples(blocks), cfg, 0, ["shard"])._jdf.queryExecution().executedPlan().toString()
     # The one exchange joins the pieces of blocks cut at task borders.
     assert plan.count("Exchange") == 1 and "Window" not in plan
+
+
+def test_running_totals_keep_the_written_order_without_a_sort(spark):
+    rows = spark.range(1000).selectExpr("id % 3 AS g", "id AS k", "1 AS w").orderBy("g", "k")
+    out = running_start(rows, ["g"], ["k"], "w", in_order=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Sort [" not in plan
+    assert [(r.g, r.start) for r in out.orderBy("g", "k").collect()] == [(g, i) for g in range(3) for i in range(334 if g == 0 else 333)]

@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 from tokenloom.staging import stage
 
 
+_BROADCAST_TOTALS = 200_000
+
+
 def group_codes(batch: pa.RecordBatch, groups: Sequence[str]) -> np.ndarray:
     """For each row, whether it opens a run of equal group values (the first row always does)."""
     opens = np.zeros(batch.num_rows, dtype=bool)
@@ -63,7 +66,8 @@ def running_start(
 
     ``in_order`` says ``df`` is already globally sorted by groups and order, which lets a caller sort the
     raw text before costly steps: a range sort samples its input, that is, computes it twice.
-    The ordered rows are written once (the piece numbers must not be recomputed differently).
+    The ordered rows are written once (the piece numbers must not be recomputed differently), and come back in runs of
+    adjacent rows, a run per file that a task reads.
     """
     ordered = df if in_order else df.orderBy(*groups, *order)
     schema = T.StructType([*df.schema.fields, T.StructField("_piece", T.IntegerType()), T.StructField("_before", T.LongType())])
@@ -73,9 +77,11 @@ def running_start(
     earlier = Window.partitionBy(*groups).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("_piece", *groups, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_base"))
     bases = stage(bases, f"{name}-bases")
-    # The written totals have exact sizes, from which the join is planned; one that shuffles would lose the order in a task.
-    placed = staged.join(bases, ["_piece", *groups]).withColumn("start", F.col("_base") + F.col("_before"))
-    return placed.drop("_piece", "_before", "_base").sortWithinPartitions(*groups, "start")
+    # A broadcast join leaves the written order alone. One that shuffles, for very many groups, loses it.
+    few = bases.count() <= _BROADCAST_TOTALS
+    joined = staged.join(F.broadcast(bases) if few else bases, ["_piece", *groups])
+    placed = joined.withColumn("start", F.col("_base") + F.col("_before")).drop("_piece", "_before", "_base")
+    return placed if few else placed.sortWithinPartitions(*groups, "start")
 
 
 def number_rows(
