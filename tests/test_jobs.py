@@ -273,3 +273,18 @@ def test_queries_and_sql_go_together(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(ORACLES) == set(QUERIES) and set(sql) <= set(queries) and set(QUERIES) <= set(queries)
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_a_stream_is_spread_by_the_partitions_of_a_shuffle(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/docs")
+    seen = []
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        stream = sm.stream_documents(spark, f"{tmp_path}/docs", "id long", spread_by="id")
+        writer = stream.writeStream.foreachBatch(lambda batch, _: seen.append(batch.rdd.getNumPartitions()))
+        writer.option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert seen == [24]

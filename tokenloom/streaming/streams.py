@@ -31,13 +31,14 @@ def stream_documents(
     """Parquet files of documents as they arrive.
 
     ``spread_by`` names the row key to repartition on, for files of so few row groups that reading them
-    would keep few cores busy.
+    would keep few cores busy. ``spark.sql.shuffle.partitions`` says into how many parts, as for any other shuffle: one part
+    per core would grow with the input.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     docs = reader.parquet(path)
-    return docs.repartition(spark.sparkContext.defaultParallelism, spread_by) if spread_by else docs
+    return docs.repartition(F.col(spread_by)) if spread_by else docs
 
 
 FILE_SCHEMA = "file string, doc_id long, lines long"
