@@ -1,13 +1,16 @@
 import json
 import random
+import tracemalloc
+import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import plain
 from tokenloom.config import TokenizerConfig
 from tokenloom.functions.sql import register_tokenizer
-from tokenloom.functions.text import unicode_normalize
+from tokenloom.functions.text import normalized, unicode_normalize
 from tokenloom.operators import encoding as enc
 from tokenloom.operators import merges as mg
 from tokenloom.operators import words as wd
@@ -310,3 +313,31 @@ def test_reuse(spark, tmp_path, golden):
 def test_nfkc(as_lines):
     rows = as_lines(["ﬁne ① Ａ", "plain", None]).select("line_no", unicode_normalize(F.col("text")).alias("t"))
     assert [r.t for r in rows.orderBy("line_no").collect()] == ["fine 1 A", "plain", None]
+
+
+def test_distinct_words_are_split_after_they_are_made_distinct(spark, golden):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id", "0 AS line_no", "text")
+    words = wd.word_counts(docs).select("word")
+    out = enc.encode_words(words, golden).select(F.explode("tokens").alias("token")).distinct()
+    out.collect()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # Read from the top: the Python function comes before the aggregate over the words, and once.
+    made = [line for line in plan.splitlines() if "ArrowEvalPython" in line or "Aggregate [word" in line]
+    assert len(made) == 2 and "ArrowEvalPython" in made[0], plan
+
+
+def test_a_worker_keeps_few_words_and_few_texts(spark):
+    def peak(work):
+        tracemalloc.start()
+        kept = work()
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return kept, top
+
+    memo, top = peak(lambda: {f" {k:x}abcdefghijk": [260 + k, k] for k in range(enc._MEMO_LIMIT)})
+    assert top < 32_000_000
+    wide = "".join(chr(0xFF41 + k % 26) for k in range(3_000))
+    texts = pa.array([wide] * 4_000 + [None, ""], pa.string())
+    got, top = peak(lambda: normalized(texts, "NFKC"))
+    assert got.to_pylist() == [unicodedata.normalize("NFKC", wide)] * 4_000 + [None, ""]
+    assert top < 6_000_000 and normalized(pa.array([], pa.string()), "NFKC").to_pylist() == []
