@@ -288,3 +288,11 @@ def test_a_stream_is_spread_by_the_partitions_of_a_shuffle(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert seen == [24]
+
+
+def test_words_to_train_on_are_counted_once(spark):
+    from verification import queries
+
+    words = queries.kept_words(spark, SF)
+    assert "Aggregate" not in words._jdf.queryExecution().optimizedPlan().toString() and words.count() > 0
+    assert queries.kept_words(spark, SF) is words
