@@ -16,7 +16,7 @@ from tokenloom.operators.encoding import EncodeFn, encoder
 from tokenloom.operators.sequencing import group_codes, running_start
 from tokenloom.operators.vocabulary import Tokenizer
 from tokenloom.sources.lines import ORDER, nonblank_lines
-from tokenloom.staging import stage
+from tokenloom.staging import new_path, scratch, stage
 
 
 def shard_lines(lines: DataFrame, shards: int, number_col: str = "line_no") -> DataFrame:
@@ -122,7 +122,6 @@ def pack_ids(
     lines lie; only the few pieces at task borders are grouped, at most ``max_length`` ids to a block.
     """
     rows = encoded.select(*groups, *order, "input_ids").withColumn("_n", F.size("input_ids").cast("bigint"))
-    placed = running_start(rows, groups, order, "_n", in_order, name="lines")
     group_fields = [encoded.schema[g] for g in groups]
     schema = T.StructType(
         [
@@ -133,9 +132,12 @@ def pack_ids(
             T.StructField("whole", T.BooleanType()),
         ]
     )
-    cut = placed.select(*groups, "start", "input_ids").mapInArrow(_cut(groups, max_length), schema)
-    # Written once: whether a block came out whole depends on how the read was split into tasks.
-    staged = stage(cut, "blocks", partition_by=("whole",))
+    path = new_path(encoded.sparkSession, "blocks")
+    with scratch(encoded.sparkSession):
+        placed = running_start(rows, groups, order, "_n", in_order, name="lines")
+        cut = placed.select(*groups, "start", "input_ids").mapInArrow(_cut(groups, max_length), schema)
+        # Written once: whether a block came out whole depends on how the read was split into tasks.
+        staged = stage(cut, "blocks", path, partition_by=("whole",))
     whole = staged.filter("whole").select(*groups, "block", "input_ids")
     joined = (
         staged.filter(~F.col("whole"))

@@ -12,8 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,14 +37,18 @@ def _key(batch: pa.RecordBatch, groups: Sequence[str], row: int) -> tuple:
     return tuple(batch.column(g)[row].as_py() for g in groups)
 
 
-def _running(groups: Sequence[str], weight: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = TaskContext.get().partitionId()
+def _running(groups: Sequence[str], weight: str) -> Column:
+    """The total of a task's earlier rows of the same group, for rows in order. Only weights and groups go to Python and back."""
+
+    @F.arrow_udf(T.LongType())
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         current, carried = None, 0
-        for batch in batches:
+        for columns in batches:
+            batch = pa.RecordBatch.from_arrays(list(columns), names=["_weight", *(groups or ["_all"])])
             if not batch.num_rows:
+                yield pa.array([], pa.int64())
                 continue
-            w = batch.column(weight).to_numpy(zero_copy_only=False).astype(np.int64)
+            w = batch.column("_weight").to_numpy(zero_copy_only=False).astype(np.int64)
             before = np.cumsum(w) - w
             starts = np.flatnonzero(group_codes(batch, groups))
             base = before[starts].copy()
@@ -53,10 +56,10 @@ def _running(groups: Sequence[str], weight: str):
                 base[0] -= carried
             before -= np.repeat(base, np.diff(np.append(starts, len(w))))
             current, carried = _key(batch, groups, len(w) - 1), int(before[-1] + w[-1])
-            columns = [*batch.columns, pa.array(np.full(len(w), piece, np.int32)), pa.array(before)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_piece", "_before"])
+            yield pa.array(before)
 
-    return run
+    # Its value depends on the rows before, so it must be neither repeated nor moved.
+    return run.asNondeterministic()(weight, *(groups or [weight]))
 
 
 def running_start(
@@ -70,8 +73,7 @@ def running_start(
     adjacent rows, a run per file that a task reads.
     """
     ordered = df if in_order else df.orderBy(*groups, *order)
-    schema = T.StructType([*df.schema.fields, T.StructField("_piece", T.IntegerType()), T.StructField("_before", T.LongType())])
-    staged = stage(ordered.mapInArrow(_running(groups, weight), schema), name)
+    staged = stage(ordered.select("*", F.spark_partition_id().alias("_piece"), _running(groups, weight).alias("_before")), name)
     # One row per written piece and group: as many as the sort had partitions, plus one per further group.
     totals = staged.groupBy("_piece", *groups).agg(F.sum(weight).alias("_total"))
     earlier = Window.partitionBy(*groups).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
