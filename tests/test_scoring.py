@@ -186,3 +186,24 @@ def test_predictions_are_scored_where_they_lie(spark):
         assert r.nll == pytest.approx(sum(score(a, b) for a, b in zip(ids, ids[1:])) / 29)
     dealt = [re.findall(r"hashpartitioning\(([^)]*)\)", df._jdf.queryExecution().executedPlan().toString()) for df in (small, large)]
     assert not any("next_id" in d for d in dealt[0]) and any("next_id" in d for d in dealt[1])
+
+
+def test_sums_of_samples_are_brought_to_their_groups(spark):
+    """With the place of each sample given, groups come out as if the samples themselves had been moved; no token moves."""
+    rng = random.Random(8)
+    rows = [(s, h, b, b // 3, [rng.randrange(6) for _ in range(rng.randrange(2, 9))]) for s in ("train", "val", None) for h in (0, 1) for b in range(8)]
+    samples = spark.createDataFrame(rows, "split string, shard int, block long, batch_id long, input_ids array<int>").repartition(4)
+    by, name = ["split", "shard", "batch_id"], ["split", "shard", "block"]
+    table = sc.bigram_table(sc.next_token_pairs(samples, []), 8)
+    table = spark.createDataFrame(table.collect(), table.schema)
+    placed = samples.select(*name, "batch_id").filter("block < 7")
+    pairs = sc.next_token_pairs(samples, name)
+    got = sc.loss_levels(pairs, table, 8, by, placed=placed)
+    moved = sc.loss_levels(sc.next_token_pairs(samples.filter("block < 7"), by), table, 8, by)
+    key = lambda r: (r.level, r.split, r.shard, r.batch_id)
+    want = {key(r): (r.n, pytest.approx(r.nll), pytest.approx(r.perplexity)) for r in moved.collect()}
+    assert {key(r): (r.n, r.nll, r.perplexity) for r in got.collect()} == want and len(want) == 18 + 3 + 1
+    losses = sc.masked_nll(pairs, table, 8, by, placed)
+    assert {(r.split, r.shard, r.batch_id): (r.n, r.nll) for r in losses.collect()} == {k[1:]: v[:2] for k, v in want.items() if k[0] == 0}
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", got._jdf.queryExecution().executedPlan().toString())
+    assert dealt and not any("next_id" in d for d in dealt)

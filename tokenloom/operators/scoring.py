@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,13 +67,33 @@ def _scored(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[st
     return scored.groupBy(*by).agg(F.sum("n").alias("n"), F.sum(F.col("n") * nll).alias("loss"))
 
 
+def _scored_in(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str], placed: DataFrame | None) -> DataFrame:
+    """As :func:`_scored`; with ``placed``, by the groups that it names for the samples.
+
+    ``placed`` has a row per sample: the columns that name it, which the pairs have too, and those of ``by``. Predictions are added
+    up by sample where these lie, so what moves to a group is one row per sample and no token. Samples without a place are left out.
+    """
+    if placed is None:
+        return _scored(pairs, table, vocab_size, by)
+    named = [c for c in placed.columns if c in pairs.columns]
+    places = placed.select(*[F.col(c).alias(f"_{c}") for c in named], *[c for c in by if c not in named])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in named])
+    moved = _scored(pairs, table, vocab_size, named).join(places, same)
+    return moved.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("loss").alias("loss"))
+
+
 def _means() -> list[Column]:
     return [F.sum("n").alias("n"), (F.sum("loss") / F.sum("n")).alias("nll")]
 
 
-def masked_nll(pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str] = ()) -> DataFrame:
-    """``by, n, nll``: predictions and their mean negative log-likelihood, ignored labels left out."""
-    return _scored(pairs, table, vocab_size, by).select(*by, "n", (F.col("loss") / F.col("n")).alias("nll"))
+def masked_nll(
+    pairs: DataFrame, table: DataFrame, vocab_size: int, by: Sequence[str] = (), placed: DataFrame | None = None
+) -> DataFrame:
+    """``by, n, nll``: predictions and their mean negative log-likelihood, ignored labels left out.
+
+    ``placed`` may name the group of each sample (:func:`_scored_in`).
+    """
+    return _scored_in(pairs, table, vocab_size, by, placed).select(*by, "n", (F.col("loss") / F.col("n")).alias("nll"))
 
 
 def loss_levels(
@@ -80,15 +102,16 @@ def loss_levels(
     vocab_size: int,
     by: Sequence[str] = ("split", "shard", "batch_id"),
     levels: Sequence[Sequence[str]] = (("split",), ()),
+    placed: DataFrame | None = None,
 ) -> DataFrame:
     """Losses of every group of ``by`` and of the coarser ``levels`` at once: ``level, by, n, nll, perplexity``.
 
     Pairs are looked up once, and all levels are added up from the sums of the groups, so a level is the mean over its
     predictions and not over its groups. ``level`` is the grouping id: a bit for each column of ``by``, the first one
-    highest, set where the row is a total over that column (which is null in it).
+    highest, set where the row is a total over that column (which is null in it). ``placed`` is as in :func:`masked_nll`.
     """
     sets = [list(by), *map(list, levels)]
-    summed = _scored(pairs, table, vocab_size, by).groupingSets(sets, *by).agg(F.grouping_id(*by).cast("int").alias("level"), *_means())
+    summed = _scored_in(pairs, table, vocab_size, by, placed).groupingSets(sets, *by).agg(F.grouping_id(*by).cast("int").alias("level"), *_means())
     return perplexity(summed).select("level", *by, "n", "nll", "perplexity")
 
 
